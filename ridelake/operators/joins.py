@@ -1,0 +1,17 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it stops
+    early on a large side; beyond the bound the frame is returned as is and
+    the optimizer plans a shuffled join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
