@@ -158,3 +158,28 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(n.n_nationkey.alias("LocationID"), r.r_name.alias("Borough"),
                      n.n_name.alias("Zone"),
                      F.when(r.r_regionkey == 1, "Airports").otherwise("Boro Zone").alias("service_zone")))
+
+
+def orders_as_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as trips: type = order priority, pickup = order date (series_long input)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderpriority").alias("tipo_vehiculo"), F.col("o_orderdate").alias("pickup_datetime"))
+
+
+def zone_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as trips between nations: origin = customer nation, destination =
+    supplier nation, day = order date, type = order priority (``trips_zone_small``).
+
+    lineitem ⋈ orders is a large-large equi-join (shuffled on the order key);
+    customer and supplier joins are left to the optimizer's size check.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+           .join(c, F.col("o_custkey") == c.c_custkey, "left")
+           .join(s, F.col("l_suppkey") == s.s_suppkey, "left"))
+    return j.select(F.col("o_orderpriority").alias("tipo_vehiculo"), F.col("o_orderdate").alias("pickup_datetime"),
+                    F.col("c_nationkey").cast("long").alias("pu_location_id"),
+                    F.col("s_nationkey").cast("long").alias("do_location_id"))
