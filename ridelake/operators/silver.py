@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..contracts import SILVER_COLUMNS
 from ..functions.numeric import count_if
 from ..functions.time import duration_minutes
-from .rules import verdict
+from .rules import file_month_rule, type_rule, verdict
 
 
 def derive_columns(df: DataFrame, year="file_anio", month="file_mes") -> DataFrame:
@@ -27,10 +27,14 @@ def derive_columns(df: DataFrame, year="file_anio", month="file_mes") -> DataFra
 def clean(bronze: DataFrame, tipo: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """conformed bronze rows (with ``file_anio``/``file_mes``) → silver rows.
 
-    One filter on the combined per-type + file-month verdict, then the
-    derived columns; output is the 21 silver columns (+ ``keep``).
+    One filter on the per-type rule and the file-month rule, then the
+    derived columns; output is the 21 silver columns (+ ``keep``). The
+    filter is the bare conjunction (a NULL verdict drops the row just as
+    false does): over a union of per-type scans the type CASE folds to one
+    rule per branch and its plain comparisons reach the Parquet scan as
+    pushed filters.
     """
-    out = derive_columns(bronze.where(verdict(tipo)))
+    out = derive_columns(bronze.where(type_rule(tipo) & file_month_rule()))
     return out.select(*keep, *SILVER_COLUMNS)
 
 

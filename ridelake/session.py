@@ -48,9 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     would vanish with them.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = sc.master or ""
         if not master.startswith("local"):

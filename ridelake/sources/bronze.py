@@ -19,10 +19,13 @@ from .fixtures import RAW_NAMES, RAW_TYPES, raw_frame
 FILE_MONTH_PATTERN = r"(\d{4})-(\d{2})\.parquet"
 
 
-def raw_schema(tipo: str) -> T.StructType:
-    """Declared read schema of one raw layout (the widest types it may carry)."""
+def raw_schema(tipo: str, key: str | None = None) -> T.StructType:
+    """Declared read schema of one raw layout (the widest types it may carry).
+
+    ``key`` adds a ``long`` row-key column when the files carry one.
+    """
     unified = dict(CONFORMED_FIELDS)
-    fields = []
+    fields = [T.StructField(key, T.LongType())] if key else []
     for name, raw in RAW_NAMES[tipo].items():
         dtype = RAW_TYPES[tipo].get(name)
         fields.append(T.StructField(raw, T._parse_datatype_string(dtype) if dtype else unified[name]))
@@ -39,10 +42,10 @@ def with_file_month(df: DataFrame) -> DataFrame:
 
 
 def read_bronze(spark: SparkSession, paths: str | list[str], tipo: str,
-                schema: T.StructType | None = None) -> DataFrame:
+                schema: T.StructType | None = None, key: str | None = None) -> DataFrame:
     """Every monthly file under ``paths`` (folders or globs) in one scan."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(schema or raw_schema(tipo)).option("recursiveFileLookup", "true")
+    reader = spark.read.schema(schema or raw_schema(tipo, key)).option("recursiveFileLookup", "true")
     return with_file_month(reader.parquet(*paths))
 
 
@@ -73,7 +76,8 @@ def write_bronze_fixture(bronze: DataFrame, root: str) -> dict[str, str]:
     for tipo in RAW_NAMES:
         raw = raw_frame(bronze, tipo, extra=("trip_id", "file_anio", "file_mes"))
         name = F.format_string(f"{tipo}_tripdata_%04d-%02d.parquet", F.col("file_anio"), F.col("file_mes"))
-        (raw.withColumn("archivo", name).drop("file_anio", "file_mes")
+        # One file per month, as published (the fixture's only shuffle).
+        (raw.withColumn("archivo", name).drop("file_anio", "file_mes").repartition("archivo")
             .write.mode("overwrite").partitionBy("archivo").parquet(f"{root}/{tipo}"))
         out[tipo] = f"{root}/{tipo}"
     return out
