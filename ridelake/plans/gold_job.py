@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import dims, facts, features
 from ..sources import writers as WR
 
-# (table, builder, partition columns) — partitioning as the reference writes it.
+# Tables derived from the shared hourly base (one silver scan for all four).
+BASE_TABLES = (
+    ("descriptivo/viajes_por_hora", facts.trips_by_hour_from, ("anio",)),
+    ("descriptivo/tendencia_mensual", facts.monthly_trend_from, ()),
+    ("diagnostico/comparacion_vehiculos", facts.vehicle_comparison_from, ("anio",)),
+    ("diagnostico/duracion_distancia", facts.duration_distance_from, ("anio",)),
+)
+# (table, builder over silver, partition columns) — partitioning as the reference writes it.
 GOLD_TABLES = (
-    ("descriptivo/viajes_por_hora", facts.trips_by_hour, ("anio",)),
     ("descriptivo/viajes_por_zona", facts.trips_by_zone, ("anio",)),
-    ("descriptivo/tendencia_mensual", facts.monthly_trend, ()),
     ("diagnostico/tarifas_por_zona", facts.fares_by_zone, ("anio",)),
-    ("diagnostico/comparacion_vehiculos", facts.vehicle_comparison, ("anio",)),
-    ("diagnostico/duracion_distancia", facts.duration_distance, ("anio",)),
     ("predictivo/features_serie_tiempo", features.daily_series, ("tipo_vehiculo", "anio")),
     ("predictivo/features_clustering", features.zone_features, ()),
     ("predictivo/features_clasificacion", features.airport_features, ("anio",)),
@@ -29,6 +32,13 @@ GOLD_TABLES = (
 def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame | None = None) -> dict[str, str]:
     silver = spark.read.parquet(silver_path)
     out = {}
+    # Reliable checkpoint into the shared checkpoint folder: the base is
+    # computed once and survives executor loss without recomputing the scan.
+    base = facts.hourly_base(silver).checkpoint(eager=True)
+    for name, build, parts in BASE_TABLES:
+        path = f"{gold_path}/{name}"
+        WR.write_partitioned(build(base), path, parts)
+        out[name] = path
     for name, build, parts in GOLD_TABLES:
         path = f"{gold_path}/{name}"
         WR.write_partitioned(build(silver), path, parts)

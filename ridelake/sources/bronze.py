@@ -76,8 +76,9 @@ def write_bronze_fixture(bronze: DataFrame, root: str) -> dict[str, str]:
     for tipo in RAW_NAMES:
         raw = raw_frame(bronze, tipo, extra=("trip_id", "file_anio", "file_mes"))
         name = F.format_string(f"{tipo}_tripdata_%04d-%02d.parquet", F.col("file_anio"), F.col("file_mes"))
-        # One file per month, as published (the fixture's only shuffle).
-        (raw.withColumn("archivo", name).drop("file_anio", "file_mes").repartition("archivo")
+        # Rebalance by month: AQE sizes the files, splitting a hot month across
+        # tasks instead of routing all its rows to one (the fixture's only shuffle).
+        (raw.withColumn("archivo", name).drop("file_anio", "file_mes").hint("rebalance", "archivo")
             .write.mode("overwrite").partitionBy("archivo").parquet(f"{root}/{tipo}"))
         out[tipo] = f"{root}/{tipo}"
     return out
