@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..functions.numeric import round_half_up
 from . import dims
-from .joins import broadcast_bounded
 
 N_CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
@@ -38,7 +37,6 @@ PRIOR_HOLIDAY = 10.0
 Z_95 = 1.959963984540054
 # Fixed value: the floor of |y| in the percentage error (float64 machine epsilon).
 MAPE_EPS = 2.220446049250313e-16
-MAX_SERIES = 1_000_000
 
 
 def holiday_names() -> list[str]:
@@ -154,7 +152,9 @@ def fit_predict(observed: DataFrame, key: str = "tipo_vehiculo", horizon: int =
     rows = obs.withColumn("es_futuro", F.lit(False))
     if horizon > 0:
         rows = rows.unionByName(future.withColumn("es_futuro", F.lit(True)))
-    rows = rows.join(broadcast_bounded(bounds, MAX_SERIES), key)
+    # One row per series: AQE turns this into a broadcast join at runtime when the
+    # measured size of ``bounds`` is under the broadcast threshold, with no extra job.
+    rows = rows.join(bounds, key)
     frame, xcols, groups = _design(rows, key, use_holidays)
     frame = frame.select(key, "fecha", "y", "es_train", "es_futuro", *xcols)
     schema = (f"{key} string, fecha date, prediccion double, prediccion_min double, "
@@ -186,7 +186,7 @@ def compare_models(split: DataFrame, key: str = "tipo_vehiculo", exclude: DataFr
     obs = split.withColumn("_train", F.col("conjunto") == "train")
     if exclude is not None:  # bad days leave training only, never the test set
         bad = exclude.select("fecha", F.lit(True).alias("_bad"))
-        obs = obs.join(broadcast_bounded(bad, 100_000), "fecha", "left") \
+        obs = obs.join(bad, "fecha", "left") \
                  .withColumn("_train", F.col("_train") & F.col("_bad").isNull()).drop("_bad")
     test = split.where(F.col("conjunto") == "test")
     out = None
@@ -200,6 +200,6 @@ def compare_models(split: DataFrame, key: str = "tipo_vehiculo", exclude: DataFr
 def demand_forecast(series: DataFrame, key: str = "tipo_vehiculo", exclude: DataFrame | None = None,
                     horizon: int = C.HORIZON_DAYS, use_holidays: bool = True) -> DataFrame:
     """ML5: refit on all history (minus excluded days), forecast ``horizon`` days ahead."""
-    hist = series if exclude is None else series.join(broadcast_bounded(exclude, 100_000), "fecha", "left_anti")
+    hist = series if exclude is None else series.join(exclude, "fecha", "left_anti")
     fc = fit_predict(hist, key, horizon, use_holidays)
     return fc.select("fecha", "prediccion", "prediccion_min", "prediccion_max", "es_prediccion", key)
