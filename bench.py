@@ -43,13 +43,14 @@ def main() -> None:
         bronze_files(spark, sf_dir, multi)
     for n in names[:3]:  # JVM / codegen warm-up
         run(spark, n, sf_dir)
-    times = {}
+    times, cold = {}, {}
     for n in names:
-        times[n] = round(run(spark, n, sf_dir), 3)
+        cold[n] = round(run(spark, n, sf_dir), 3)  # first run: includes code generation
+        times[n] = round(run(spark, n, sf_dir), 3)  # kept: warm run
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "sum_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": int(cpus)}))
+                      "cpus": int(cpus), "cold_value": round(sum(cold.values()), 3)}))
     spark.stop()
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dims, facts, features
+from ..session import checkpoint_root
 from ..sources import writers as WR
 
 # Tables derived from the shared hourly base (one silver scan for all four).
@@ -30,6 +31,7 @@ GOLD_TABLES = (
 
 
 def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame | None = None) -> dict[str, str]:
+    checkpoint_root(spark)  # the hourly base is checkpointed into the shared folder
     silver = spark.read.parquet(silver_path)
     out = {}
     # Reliable checkpoint into the shared checkpoint folder: the base is

@@ -39,6 +39,14 @@ def build_session(master: str | None = None, app: str = "ridelake",
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifier of the running application (classic or Connect sessions)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -47,16 +55,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     shared folder, since executors may be lost and a machine-local folder
     would vanish with them.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect: the server owns the checkpoint folder
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = sc.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="ridelake-ckpt-")
+    if sc is None:
+        return root
     sc.setCheckpointDir(root)
     # setCheckpointDir adds a random sub-folder; use what Spark reports.
     return sc.getCheckpointDir() or root
