@@ -36,13 +36,17 @@ def bronze_stream(spark: SparkSession, folders: dict[str, str], max_files_per_tr
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+STREAM_PARTITIONS = (*SILVER_PARTITIONS, "lote")
+
+
 def _write_batch(silver_path: str, audit_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        # Dynamic overwrite: only the (type, year, month) partitions of this batch are replaced,
-        # which is a replay-safe write while a month arrives as one file.
-        (SV.clean(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*SILVER_PARTITIONS).parquet(silver_path))
+        # Partitioned by type/year/month and batch (``lote``) with dynamic overwrite: a replayed
+        # batch replaces exactly its own files, and parts of one month that arrive in different
+        # batches (a month split over several files) are kept side by side.
+        (SV.clean(batch).withColumn("lote", F.lit(batch_id)).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(*STREAM_PARTITIONS).parquet(silver_path))
         # Audit rows keyed by batch id: a replayed batch overwrites its own rows instead of adding.
         (SV.audit(batch).withColumn("batch_id", F.lit(batch_id)).withColumn("run_ts", F.current_timestamp())
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -35,3 +35,18 @@ def test_incremental_equals_batch_and_is_idempotent(spark):
     assert spark.read.parquet(f"{root}/audit").select("batch_id").distinct().count() > batches
     audit_in = spark.read.parquet(f"{root}/audit").agg(F.sum("filas_entrada")).first()[0]
     assert audit_in == b.count()
+
+
+def test_month_split_over_batches_keeps_both_parts(spark):
+    root = scratch_path(spark, "stream-split")
+    b = FX.trips_bronze(spark, SF_SMALL).where(F.col("file_mes") == 1)
+    folder = f"{root}/bronze/yellow"
+    y = FX.raw_frame(b, "yellow")
+    part1, part2 = y.where(F.col("trip_id") % 2 == 0), y.where(F.col("trip_id") % 2 == 1)
+    part1.drop("file_anio", "file_mes").coalesce(1).write.parquet(f"{folder}/yellow_tripdata_2024-01.parquet/a")
+    args = ({"yellow": folder}, f"{root}/silver", f"{root}/audit", f"{root}/_ckpt")
+    INC.run_incremental(spark, *args)
+    part2.drop("file_anio", "file_mes").coalesce(1).write.parquet(f"{folder}/yellow_tripdata_2024-01.parquet/b")
+    INC.run_incremental(spark, *args)
+    got = spark.read.parquet(f"{root}/silver").count()
+    assert got == silver.clean(b.where(F.col("tipo_vehiculo") == "yellow")).count()
