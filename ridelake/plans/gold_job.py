@@ -1,8 +1,12 @@
 """Silver → gold job: every gold table of the reference in one run.
 
-Silver is read once per table with only the columns that table needs; each
-table is one aggregation and one partitioned write (dynamic overwrite, so
-re-runs replace partitions instead of appending duplicates).
+Silver is scanned once for all aggregate tables: it is aggregated to the
+zone-hour base (type × side × zone × day × hour, bounded by the calendar and
+the zone catalogue, not by trips), which is checkpointed to the shared
+checkpoint folder; every aggregate table is a roll-up of that base. Only the
+trip-level classification sample reads silver again. Each table is one
+partitioned write with dynamic overwrite, so re-runs replace partitions
+instead of appending duplicates.
 """
 
 from __future__ import annotations
@@ -13,42 +17,47 @@ from ..operators import dims, facts, features
 from ..session import checkpoint_root
 from ..sources import writers as WR
 
-# Tables derived from the shared hourly base (one silver scan for all four).
-BASE_TABLES = (
+# Tables rolled up from the hourly base (itself a roll-up of the zone-hour base).
+HOURLY_TABLES = (
     ("descriptivo/viajes_por_hora", facts.trips_by_hour_from, ("anio",)),
     ("descriptivo/tendencia_mensual", facts.monthly_trend_from, ()),
     ("diagnostico/comparacion_vehiculos", facts.vehicle_comparison_from, ("anio",)),
     ("diagnostico/duracion_distancia", facts.duration_distance_from, ("anio",)),
 )
-# (table, builder over silver, partition columns) — partitioning as the reference writes it.
-GOLD_TABLES = (
-    ("descriptivo/viajes_por_zona", facts.trips_by_zone, ("anio",)),
-    ("diagnostico/tarifas_por_zona", facts.fares_by_zone, ("anio",)),
-    ("predictivo/features_serie_tiempo", features.daily_series, ("tipo_vehiculo", "anio")),
-    ("predictivo/features_clustering", features.zone_features, ()),
+# Tables rolled up from the zone-hour base — partitioning as the reference writes it.
+ZONE_TABLES = (
+    ("descriptivo/viajes_por_zona", facts.trips_by_zone_from, ("anio",)),
+    ("diagnostico/tarifas_por_zona", facts.fares_by_zone_from, ("anio",)),
+    ("predictivo/features_serie_tiempo", facts.daily_series_from, ("tipo_vehiculo", "anio")),
+    ("predictivo/features_clustering", facts.zone_features_from, ()),
+)
+# Trip-level tables: read silver itself.
+TRIP_TABLES = (
     ("predictivo/features_clasificacion", features.airport_features, ("anio",)),
 )
 
 
 def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame | None = None) -> dict[str, str]:
-    checkpoint_root(spark)  # the hourly base is checkpointed into the shared folder
+    checkpoint_root(spark)  # the base is checkpointed into the shared folder
     silver = spark.read.parquet(silver_path)
     out = {}
-    # Reliable checkpoint into the shared checkpoint folder: the base is
-    # computed once and survives executor loss without recomputing the scan.
-    base = facts.hourly_base(silver).checkpoint(eager=True)
-    for name, build, parts in BASE_TABLES:
-        path = f"{gold_path}/{name}"
-        WR.write_partitioned(build(base), path, parts)
-        out[name] = path
-    for name, build, parts in GOLD_TABLES:
+
+    def write(name, df, parts):
         path = f"{gold_path}/{name}"
-        WR.write_partitioned(build(silver), path, parts)
+        WR.write_partitioned(df, path, parts)
         out[name] = path
-    cal = dims.calendar_years(dims.year_bounds(silver))
-    WR.write_partitioned(cal, f"{gold_path}/dims/dim_tiempo")
-    out["dims/dim_tiempo"] = f"{gold_path}/dims/dim_tiempo"
+
+    # Reliable checkpoint: the base is computed by one silver scan and survives
+    # executor loss without recomputing it; all roll-ups read the checkpoint.
+    base = facts.zone_hour_base(silver).checkpoint(eager=True)
+    hourly = facts.hourly_from_zone_base(base)
+    for name, build, parts in HOURLY_TABLES:
+        write(name, build(hourly), parts)
+    for name, build, parts in ZONE_TABLES:
+        write(name, build(base), parts)
+    for name, build, parts in TRIP_TABLES:
+        write(name, build(silver), parts)
+    write("dims/dim_tiempo", dims.calendar_years(facts.year_bounds_from(base)), ())
     if zones is not None:
-        WR.write_partitioned(dims.dim_location(zones), f"{gold_path}/dims/dim_ubicacion")
-        out["dims/dim_ubicacion"] = f"{gold_path}/dims/dim_ubicacion"
+        write("dims/dim_ubicacion", dims.dim_location(zones), ())
     return out

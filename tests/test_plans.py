@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 from conftest import SF_SMALL
 
@@ -42,3 +43,18 @@ def test_zone_fact_single_exchange_no_join(spark):
 def test_airport_zone_dim_is_broadcast(spark):
     df = REGISTRY["zone_report"][0](spark, SF_SMALL)
     assert "BroadcastHashJoin" in plan(df) or "BroadcastExchange" in plan(df)
+
+
+def test_gold_base_is_one_silver_scan(spark):
+    """All aggregate gold tables come from one scan: the zone-hour base has a single
+    Parquet scan of silver and a single exchange (partial aggregation before it)."""
+    from ridelake.operators import facts
+    from ridelake.queries import silver_df
+    from ridelake.session import scratch_path
+    from ridelake.sources import writers as WR
+    path = scratch_path(spark, "silver-plan")
+    WR.write_silver(silver_df(spark, SF_SMALL, multi=True), path)
+    p = plan(facts.zone_hour_base(spark.read.parquet(path)))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1
+    assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1 and "Join" not in p
+    assert "partial_sum" in p
