@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import SILVER_COLUMNS
@@ -38,6 +38,12 @@ def clean(bronze: DataFrame, tipo: str | None = None, keep: tuple[str, ...] = ()
     return out.select(*keep, *SILVER_COLUMNS)
 
 
+def _retained_pct(rows_in: Column, rows_out: Column) -> Column:
+    """Retained share in percent, 2 decimals half-up; 0 when nothing came in."""
+    return F.when(rows_in > 0, (F.lit(100.0) * rows_out / rows_in)
+                  .cast("decimal(38,6)").cast("decimal(38,2)").cast("double")).otherwise(F.lit(0.0))
+
+
 def audit(bronze: DataFrame, tipo: str | None = None) -> DataFrame:
     """A10: rows in / rows out per type × file month, retained % (0 when empty).
 
@@ -47,7 +53,22 @@ def audit(bronze: DataFrame, tipo: str | None = None) -> DataFrame:
     ok = verdict(tipo)
     agg = (bronze.groupBy("tipo_vehiculo", F.col("file_anio").alias("anio"), F.col("file_mes").alias("mes"))
                  .agg(F.count(F.lit(1)).alias("filas_entrada"), count_if(ok).alias("filas_salida")))
-    pct = F.when(F.col("filas_entrada") > 0,
-                 (F.lit(100.0) * F.col("filas_salida") / F.col("filas_entrada"))
-                 .cast("decimal(38,6)").cast("decimal(38,2)").cast("double")).otherwise(F.lit(0.0))
-    return agg.withColumn("pct_retenido", pct)
+    return agg.withColumn("pct_retenido", _retained_pct(F.col("filas_entrada"), F.col("filas_salida")))
+
+
+def audit_from_counts(bronze: DataFrame, written: DataFrame) -> DataFrame:
+    """A10 after a silver write, from row counts alone (no column data is read).
+
+    Rows in are counted per type × file month of the bronze scan, rows out per
+    silver partition that was written; both counts need only Parquet footers
+    and partition paths (``ReadSchema: struct<>``), so auditing a write costs a
+    metadata pass instead of a second scan of the rule columns. A month with
+    no surviving rows has no partition and gets 0.
+    """
+    keys = ["tipo_vehiculo", "anio", "mes"]
+    rows_in = (bronze.groupBy("tipo_vehiculo", F.col("file_anio").alias("anio"), F.col("file_mes").alias("mes"))
+                     .agg(F.count(F.lit(1)).alias("filas_entrada")))
+    rows_out = written.groupBy(*keys).agg(F.count(F.lit(1)).alias("filas_salida"))
+    j = rows_in.join(rows_out, keys, "left").withColumn("filas_salida", F.coalesce("filas_salida", F.lit(0)))
+    return j.select(*keys, "filas_entrada", "filas_salida",
+                    _retained_pct(F.col("filas_entrada"), F.col("filas_salida")).alias("pct_retenido"))

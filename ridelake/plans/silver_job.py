@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..contracts import SILVER_PARTITIONS
 from ..operators import conform as CF
 from ..operators import silver as SV
 from ..sources import bronze as BR
@@ -19,12 +20,15 @@ def conformed_bronze(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
 def run(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_path: str, run_id: str) -> DataFrame:
     """Write silver (dynamic partition overwrite) and append the audit of this run.
 
-    Two jobs over the same bronze files: the audit aggregation reads only the
-    rule columns (column pruning), the write reads the rest; bronze is never
-    persisted, which at 100 TB would cost more than the second scan.
+    The write is the only pass over the data. The audit is computed from row
+    counts afterwards: rows in per bronze file month and rows out per written
+    silver partition both come from Parquet footers and partition paths, so
+    no data column is read a second time (bronze is never persisted either,
+    which at 100 TB would cost more than the data pass itself).
     """
     bronze = conformed_bronze(spark, folders)
     WR.write_silver(SV.clean(bronze), silver_path)
-    audit = SV.audit(bronze)
+    written = spark.read.parquet(silver_path).select(*SILVER_PARTITIONS)
+    audit = SV.audit_from_counts(bronze, written)
     WR.write_audit(audit, audit_path, run_id)
     return spark.read.parquet(audit_path)
