@@ -9,30 +9,66 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Engine defaults for every session (applied only where the submit configuration
+# leaves them unset).
+SESSION_DEFAULTS = {
+    # Wall-clock semantics: trip timestamps are read as timestamp_ntz.
+    "spark.sql.session.timeZone": "America/New_York",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+# Sizing for a large cluster (~100 TB of trips, ~1000 executors). Scans: 256 MB
+# splits (400k tasks per 100 TB instead of 800k at 128 MB, each still far below
+# executor memory). Shuffles start wide and AQE coalesces them to ~256 MB
+# partitions, so the gold aggregations (which shuffle groups, not trips) and any
+# large join get partitions that fit in memory at any scale without a
+# hand-tuned partition count. Decommissioning moves shuffle and cached blocks off
+# executors that are being taken away, so lost executors cost little recompute.
+CLUSTER_DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
+def session_conf(master: str | None, submitted: dict[str, str],
+                 shuffle_partitions: int | None = None) -> dict[str, str]:
+    """The settings ``build_session`` adds: defaults not already in ``submitted``."""
+    local = (master or submitted.get("spark.master", "local")).startswith("local")
+    wanted = dict(SESSION_DEFAULTS)
+    if not local:
+        wanted.update(CLUSTER_DEFAULTS)
+    if shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return {k: v for k, v in wanted.items() if k not in submitted}
+
+
 def build_session(master: str | None = None, app: str = "ridelake",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """A session tuned for the trip jobs.
 
     On a cluster the master, memory and checkpoint folder come from the
-    submit configuration; only engine-level defaults are set here.
+    submit configuration, which always wins; only the defaults above that it
+    leaves unset are added.
     """
+    from pyspark import SparkConf
+    submitted = dict(SparkConf().getAll())  # spark-submit --conf / spark-defaults values
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = {
-        # Wall-clock semantics: trip timestamps are read as timestamp_ntz.
-        "spark.sql.session.timeZone": "America/New_York",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
-    }
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    for k, v in conf.items():
+    for k, v in session_conf(master, submitted, shuffle_partitions).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
