@@ -28,7 +28,7 @@ def run(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_pa
     """
     bronze = conformed_bronze(spark, folders)
     WR.write_silver(SV.clean(bronze), silver_path)
-    written = spark.read.parquet(silver_path).select(*SILVER_PARTITIONS)
+    written = WR.read_silver(spark, silver_path).select(*SILVER_PARTITIONS)
     audit = SV.audit_from_counts(bronze, written)
     WR.write_audit(audit, audit_path, run_id)
     return spark.read.parquet(audit_path)

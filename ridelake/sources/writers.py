@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..contracts import SILVER_PARTITIONS
+from ..contracts import SILVER_PARTITIONS, SILVER_SCHEMA
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] | list[str] = (),
@@ -38,3 +38,15 @@ def write_audit(audit: DataFrame, path: str, run_id: str) -> None:
     from pyspark.sql import functions as F
     audit.withColumn("run_id", F.lit(run_id)).withColumn("run_ts", F.current_timestamp()) \
          .write.mode("append").parquet(path)
+
+
+def read_silver(spark, path: str, extra_partitions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """Silver with its declared schema (partition columns included).
+
+    With a declared schema an empty folder (a run in which no row survived)
+    reads as an empty frame instead of failing schema inference.
+    """
+    from pyspark.sql import types as T
+    fields = list(SILVER_SCHEMA.fields)
+    fields += [T.StructField(n, T._parse_datatype_string(t)) for n, t in extra_partitions]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -16,11 +16,24 @@ from pyspark.sql import functions as F
 from ..contracts import SILVER_PARTITIONS, VEHICLE_TYPES
 from ..operators import conform as CF
 from ..operators import silver as SV
+from ..sources import writers as WR
 from ..sources.bronze import FILE_MONTH_PATTERN, raw_schema
 
 
-def bronze_stream(spark: SparkSession, folders: dict[str, str], max_files_per_trigger: int | None = None) -> DataFrame:
-    """Union of one file stream per type, conformed, with the file's year/month."""
+# Upper bound on the bronze bytes one type's file stream takes into a micro-batch.
+# A backlog (first run, or a long pause) is then processed as a sequence of
+# bounded batches, each committed on its own, instead of one batch holding
+# every new file; a failed batch replays only its own files.
+DEFAULT_BATCH_BYTES = 256 * 1024 ** 3
+
+
+def bronze_stream(spark: SparkSession, folders: dict[str, str], max_files_per_trigger: int | None = None,
+                  max_bytes_per_trigger: int = DEFAULT_BATCH_BYTES) -> DataFrame:
+    """Union of one file stream per type, conformed, with the file's year/month.
+
+    Each stream's micro-batches are bounded by ``max_files_per_trigger`` when
+    given, else by ``max_bytes_per_trigger`` (Spark takes one or the other).
+    """
     parts = []
     for tipo in VEHICLE_TYPES:
         if tipo not in folders:
@@ -28,6 +41,8 @@ def bronze_stream(spark: SparkSession, folders: dict[str, str], max_files_per_tr
         r = spark.readStream.schema(raw_schema(tipo)).option("recursiveFileLookup", "true")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        else:
+            r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
         raw = r.parquet(folders[tipo])
         path = F.col("_metadata.file_path")
         raw = raw.withColumns({"file_anio": F.regexp_extract(path, FILE_MONTH_PATTERN, 1).cast("int"),
@@ -41,24 +56,28 @@ STREAM_PARTITIONS = (*SILVER_PARTITIONS, "lote")
 
 def _write_batch(silver_path: str, audit_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
         # Partitioned by type/year/month and batch (``lote``) with dynamic overwrite: a replayed
         # batch replaces exactly its own files, and parts of one month that arrive in different
         # batches (a month split over several files) are kept side by side.
         (SV.clean(batch).withColumn("lote", F.lit(batch_id)).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*STREAM_PARTITIONS).parquet(silver_path))
+        # The batch is not persisted: the write is its only data pass, and the audit
+        # counts rows from the batch files' footers and the partitions this batch wrote.
+        written = (WR.read_silver(batch.sparkSession, silver_path, (("lote", "long"),))
+                     .where(F.col("lote") == batch_id).select(*SILVER_PARTITIONS))
         # Audit rows keyed by batch id: a replayed batch overwrites its own rows instead of adding.
-        (SV.audit(batch).withColumn("batch_id", F.lit(batch_id)).withColumn("run_ts", F.current_timestamp())
+        (SV.audit_from_counts(batch, written).withColumn("batch_id", F.lit(batch_id))
+           .withColumn("run_ts", F.current_timestamp())
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch_id").parquet(audit_path))
-        batch.unpersist()
     return write
 
 
 def run_incremental(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_path: str,
-                    checkpoint: str, max_files_per_trigger: int | None = None) -> None:
-    """Process every bronze file not yet seen, then stop (``availableNow``)."""
-    q = (bronze_stream(spark, folders, max_files_per_trigger).writeStream
+                    checkpoint: str, max_files_per_trigger: int | None = None,
+                    max_bytes_per_trigger: int = DEFAULT_BATCH_BYTES) -> None:
+    """Process every bronze file not yet seen in bounded batches, then stop (``availableNow``)."""
+    q = (bronze_stream(spark, folders, max_files_per_trigger, max_bytes_per_trigger).writeStream
          .foreachBatch(_write_batch(silver_path, audit_path))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -50,3 +50,19 @@ def test_month_split_over_batches_keeps_both_parts(spark):
     INC.run_incremental(spark, *args)
     got = spark.read.parquet(f"{root}/silver").count()
     assert got == silver.clean(b.where(F.col("tipo_vehiculo") == "yellow")).count()
+
+
+def test_byte_bounded_batches_equal_batch_result(spark):
+    """A backlog split into many byte-bounded micro-batches gives the batch result and a full audit."""
+    root = scratch_path(spark, "stream-bytes")
+    b = FX.trips_bronze(spark, SF_SMALL, multi=True).where(F.col("file_anio") == 2024)
+    folders = BR.write_bronze_fixture(b, f"{root}/bronze")
+    INC.run_incremental(spark, folders, f"{root}/silver", f"{root}/audit", f"{root}/_ckpt",
+                        max_bytes_per_trigger=1)  # every micro-batch takes a single file
+    audit = spark.read.parquet(f"{root}/audit")
+    assert audit.select("batch_id").distinct().count() > 4
+    got = spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS)
+    want = silver.clean(b)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    tot = audit.agg(F.sum("filas_entrada"), F.sum("filas_salida")).first()
+    assert tot[0] == b.count() and tot[1] == want.count()
