@@ -8,6 +8,7 @@ concurrently from a thread pool so they share the executors.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -64,16 +65,28 @@ def best_fit(data: DataFrame, k: int, restarts: int = C.ELBOW_RESTARTS, seed: in
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def _prepared(features: DataFrame) -> DataFrame:
-    # Catalogue-bounded table: one partition avoids per-iteration task overhead.
-    return scale(features).coalesce(1).cache()
+# Rows per partition of the scaled feature table that the k-means fits iterate over.
+ROWS_PER_PARTITION = 50_000
+
+
+def _prepared(features: DataFrame) -> tuple[DataFrame, int]:
+    """Scaled features, partitioned by size and cached for the repeated fits.
+
+    The partition count follows the row count (one partition per
+    ``ROWS_PER_PARTITION`` rows): the catalogue-bounded zone table becomes one
+    partition, so each of the many k-means iterations is one task instead of
+    one per shuffle partition, while a larger table still spreads out. The
+    cache is recomputed from lineage if an executor is lost.
+    """
+    data = scale(features)
+    n = data.count()
+    return data.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION))).cache(), n
 
 
 def kmeans_elbow(features: DataFrame, ks=C.ELBOW_K, restarts: int = C.ELBOW_RESTARTS,
                  seed: int = C.SEED, threads: int = 8) -> DataFrame:
     """ML1b: best inertia per k over ``restarts`` seeded fits."""
-    data = _prepared(features)
-    n = data.count()
+    data, n = _prepared(features)
     spark = features.sparkSession
     jobs = [(k, seed + r) for k in ks for r in range(restarts)]
     with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -89,7 +102,7 @@ def kmeans_elbow(features: DataFrame, ks=C.ELBOW_K, restarts: int = C.ELBOW_REST
 def assign_clusters(features: DataFrame, k: int = C.N_CLUSTERS, restarts: int = C.ELBOW_RESTARTS,
                     seed: int = C.SEED, threads: int = 8) -> DataFrame:
     """ML2 (first half): best-of-restarts k-means assignment, column ``prediction``."""
-    data = _prepared(features)
+    data, _ = _prepared(features)
     with ThreadPoolExecutor(max_workers=threads) as pool:
         model = best_fit(data, k, restarts, seed, pool)
     out = model.transform(data).drop("features")

@@ -16,4 +16,4 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_zone_csv(zones: DataFrame, path: str) -> None:
-    zones.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    zones.write.mode("overwrite").option("header", "true").csv(path)
