@@ -18,6 +18,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partitioned writes keep up to 4 files open per task instead of sorting every
+    # task's rows by the partition columns first: a bronze split comes from one
+    # month file, so a silver write task has one partition and the planned sort
+    # (a full per-task sort at any scale) is dropped; a task that meets more
+    # partitions than this falls back to sorting the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
