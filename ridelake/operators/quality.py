@@ -95,14 +95,14 @@ def rule_severity(profile: DataFrame) -> DataFrame:
                           round_half_up(pct).alias("pct"), severity(pct).alias("estado"))
 
 
-# Ordered cascade step labels; the order is the contract.
+# The cascade step labels, in step order, as the reference's audit prints them.
 CASCADE_LABELS = (
-    "Fecha corrupta (anio/mes no coincide)",
-    "Fare negativo (payment_type invalido)",
+    "Fecha corrupta (año/mes no coincide)",
+    "Fare negativo (payment_type inválido)",
     "Fare fuera de rango [0, max]",
-    "GPS invalido (distancia 0, duracion alta)",
-    "Distancia > maximo",
-    "Duracion fuera de rango",
+    "GPS inválido (distancia≈0, duración alta)",
+    "Distancia > máximo",
+    "Duración fuera de rango",
 )
 
 
