@@ -76,3 +76,27 @@ def test_silver_job_audit_reads_no_data_columns(spark):
     assert schemas and all(s == "struct<>" for s in schemas)
     direct = SV.audit(bronze)
     assert audit.exceptAll(direct).count() == 0 and direct.exceptAll(audit).count() == 0
+
+
+AGGREGATE_KEYS = ["trips_by_hour", "trips_by_zone", "monthly_trend", "fares_by_zone", "vehicle_comparison",
+                  "duration_distance", "zone_features", "rule_cascade", "silver_audit", "layer_audit",
+                  "trips_by_zone_rollup", "zone_features_rollup", "daily_series_rollup", "partition_count"]
+
+
+def test_aggregate_scans_read_only_needed_columns(spark):
+    """No aggregate query reads the money columns none of them uses (column pruning reaches every scan)."""
+    unused = ("tolls", "congestion_surcharge", "airport_fee")
+    for key in AGGREGATE_KEYS:
+        schemas = re.findall(r"ReadSchema: (\S+)", plan(REGISTRY[key][0](spark, SF_SMALL)))
+        assert schemas, key
+        for s in schemas:
+            assert not any(c in s for c in unused), (key, s)
+
+
+def test_audit_scans_read_no_data_columns(spark):
+    """Counting in-rows per file month needs only footers: the partition and file-month columns
+    come from paths, so the bronze side of the layer audit reads no column at all."""
+    from ridelake.queries import bronze
+    b = bronze(spark, SF_SMALL, multi=True).groupBy("tipo_vehiculo", "file_anio").count()
+    schemas = re.findall(r"ReadSchema: (\S+)", plan(b))
+    assert schemas and all(s == "struct<>" for s in schemas)
