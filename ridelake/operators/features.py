@@ -81,9 +81,35 @@ def cluster_input(features: DataFrame) -> DataFrame:
     return features.where(~F.col("location_id").isin(*C.NON_GEO_ZONES)).dropna()
 
 
-def feature_summary(features: DataFrame) -> DataFrame:
-    """Count / mean / stddev / min / quartiles / max of each feature."""
-    return features.select(*ZONE_FEATURES).summary()
+# The statistics of a describe, in its row order.
+DESCRIBE_STATS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+
+
+def _describe_stat(stat: str, c: str) -> Column:
+    q = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    if stat in q:
+        return F.percentile(c, q[stat])
+    fn = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}[stat]
+    return fn(c).cast("double")
+
+
+def feature_summary(features: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Describe of every numeric column — one row per statistic, one column per feature.
+
+    count (non-NULL), mean, sample standard deviation, min, quartiles by linear
+    interpolation between order statistics, max; NULLs are skipped per column;
+    values rounded half-up to 4 decimals. One aggregation computes all of them.
+    The quartiles are exact (``percentile`` keeps each column's distinct values
+    per aggregate), which is sound here because the zone table is bounded by the
+    catalogue; an unbounded table would take ``percentile_approx``.
+    """
+    cols = cols or ["location_id", *ZONE_FEATURES]
+    aggs = [round_half_up(_describe_stat(st, c), 4).alias(f"_{i}_{j}")
+            for i, st in enumerate(DESCRIBE_STATS) for j, c in enumerate(cols)]
+    rows = F.array(*[F.struct(F.lit(st).alias("estadistico"),
+                              *[F.col(f"_{i}_{j}").alias(c) for j, c in enumerate(cols)])
+                     for i, st in enumerate(DESCRIBE_STATS)])
+    return features.agg(*aggs).select(F.explode(rows).alias("s")).select("s.*")
 
 
 def row_sample(key: Column, modulus: int = 100, residue: int = 7) -> Column:
