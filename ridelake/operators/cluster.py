@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contracts as C
+from ..session import checkpoint_root
 from ..functions.numeric import round_half_up
 from .features import ZONE_FEATURES
 
@@ -72,13 +73,17 @@ ROWS_PER_PARTITION = 50_000
 def _prepared(features: DataFrame) -> tuple[DataFrame, int]:
     """Scaled features, partitioned by size and cached for the repeated fits.
 
-    The partition count follows the row count (one partition per
+    The feature table is first checkpointed into the shared checkpoint folder:
+    its lineage (an aggregation over all of silver) is cut once, so the scaler
+    fit, the scaling and the cache all read the checkpoint, and a cached block
+    lost with an executor is rebuilt from it instead of from silver. The
+    partition count follows the row count (one partition per
     ``ROWS_PER_PARTITION`` rows): the catalogue-bounded zone table becomes one
     partition, so each of the many k-means iterations is one task instead of
-    one per shuffle partition, while a larger table still spreads out. The
-    cache is recomputed from lineage if an executor is lost.
+    one per shuffle partition, while a larger table still spreads out.
     """
-    data = scale(features)
+    checkpoint_root(features.sparkSession)
+    data = scale(features.checkpoint(eager=True))
     n = data.count()
     return data.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION))).cache(), n
 
