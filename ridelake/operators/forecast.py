@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.numeric import round_half_up
+from ..session import checkpoint_root
 from . import dims
 
 N_CHANGEPOINTS = 25
@@ -134,6 +135,18 @@ def _fit_group(xcols: list[str], groups: dict[str, str], key: str):
     return fit
 
 
+def materialize_series(df: DataFrame) -> DataFrame:
+    """Checkpoint a per-series day table into the shared checkpoint folder.
+
+    Such a table is small (days × series) but is an aggregate over the whole
+    source; the fit reads it several times (bounds, last day, rows, train and
+    test sides), so it is computed once and every later read, and any retry
+    after an executor loss, starts from the checkpoint instead of the source.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def fit_predict(observed: DataFrame, key: str = "tipo_vehiculo", horizon: int = C.HORIZON_DAYS,
                 use_holidays: bool = True, train_col: str | None = None) -> DataFrame:
     """ML4/ML5: fit per series on training rows; predict every row plus ``horizon`` future days.
@@ -142,8 +155,8 @@ def fit_predict(observed: DataFrame, key: str = "tipo_vehiculo", horizon: int =
     ``train_col``; default: every observed row trains). Output: ``key, fecha,
     prediccion, prediccion_min, prediccion_max, es_prediccion, y``.
     """
-    obs = observed.select(key, "fecha", F.col("total_viajes").cast("double").alias("y"),
-                          (F.col(train_col) if train_col else F.lit(True)).alias("es_train"))
+    obs = materialize_series(observed.select(key, "fecha", F.col("total_viajes").cast("double").alias("y"),
+                                             (F.col(train_col) if train_col else F.lit(True)).alias("es_train")))
     bounds = (obs.where("es_train").groupBy(key)
                  .agg(F.min("fecha").alias("_t0"), F.max("fecha").alias("_t1")))
     last = obs.groupBy(key).agg(F.max("fecha").alias("_last"))
@@ -183,6 +196,7 @@ def seasonal_naive(series: DataFrame, key: str = "tipo_vehiculo", lag_days: int
 
 def compare_models(split: DataFrame, key: str = "tipo_vehiculo", exclude: DataFrame | None = None) -> DataFrame:
     """ML6: hold-out error with and without holidays (trained on ``conjunto = 'train'``)."""
+    split = materialize_series(split)  # read by both fits and the test side
     obs = split.withColumn("_train", F.col("conjunto") == "train")
     if exclude is not None:  # bad days leave training only, never the test set
         bad = exclude.select("fecha", F.lit(True).alias("_bad"))
