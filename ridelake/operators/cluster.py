@@ -46,8 +46,13 @@ def scale(features: DataFrame, cols=ZONE_FEATURES) -> DataFrame:
 
 
 def zone_scaled(features: DataFrame) -> DataFrame:
-    """ML1 output as columns: location id and the scaled feature values."""
-    s = scale(features).select("location_id", vector_to_array("features").alias("z"))
+    """ML1 output as columns: location id and the scaled feature values.
+
+    The feature table is checkpointed first, so fitting the scaler and
+    applying it read the checkpoint instead of aggregating silver twice.
+    """
+    checkpoint_root(features.sparkSession)
+    s = scale(features.checkpoint(eager=True)).select("location_id", vector_to_array("features").alias("z"))
     return s.select("location_id", *[F.col("z")[i].alias(f"z_{c}") for i, c in enumerate(ZONE_FEATURES)])
 
 

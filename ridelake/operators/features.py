@@ -55,12 +55,13 @@ def exclude_days(series: DataFrame, days: DataFrame, max_days: int = 100_000) ->
 def split_train_test(series: DataFrame, horizon: int = C.HORIZON_DAYS) -> DataFrame:
     """chronological split per type: cut = last day − horizon; train ≤ cut < test.
 
-    The cut is a per-type aggregate joined back (one row per series), so no
-    value is collected to the driver and no window sorts a whole series; AQE
-    broadcasts the measured-small cut table at runtime.
+    The cut is a window maximum over each series' day rows (one row per day,
+    so a window partition is bounded by the calendar, not by trips). Nothing
+    is collected to the driver, and unlike joining the series back to its own
+    per-type maximum, the source is aggregated once instead of twice.
     """
-    cuts = series.groupBy("tipo_vehiculo").agg(F.date_sub(F.max("fecha"), horizon).alias("corte"))
-    j = series.join(cuts, "tipo_vehiculo")
+    w = Window.partitionBy("tipo_vehiculo")
+    j = series.withColumn("corte", F.date_sub(F.max("fecha").over(w), horizon))
     return j.withColumn("conjunto", F.when(F.col("fecha") <= F.col("corte"), "train").otherwise("test"))
 
 

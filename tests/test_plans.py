@@ -100,3 +100,10 @@ def test_audit_scans_read_no_data_columns(spark):
     b = bronze(spark, SF_SMALL, multi=True).groupBy("tipo_vehiculo", "file_anio").count()
     schemas = re.findall(r"ReadSchema: (\S+)", plan(b))
     assert schemas and all(s == "struct<>" for s in schemas)
+
+
+def test_train_test_split_scans_source_once(spark):
+    """The per-type cut is a window over the day rows: one scan of the source, no self-join."""
+    p = plan(REGISTRY["train_test_split_time"][0](spark, SF_SMALL))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1
+    assert "Join" not in p
