@@ -56,3 +56,19 @@ def test_audit_latest(spark):
         "tipo_vehiculo string, anio int, mes int, filas_entrada long, filas_salida long, run_ts int")
     got = {(r.tipo_vehiculo, r.filas_salida) for r in QL.audit_latest(log).collect()}
     assert got == {("yellow", 8), ("green", 5)}
+
+
+def test_audit_from_counts_keeps_months_with_no_surviving_rows(spark):
+    """A month whose rows all fail has no silver partition; its audit row says 0 out, 0 %."""
+    from ridelake.contracts import SILVER_PARTITIONS
+    good = [trip(trip_id=i) for i in range(3)]
+    bad = [trip(trip_id=10 + i, fare=-5.0, payment=1, file_mes=2,
+                pickup=dt.datetime(2024, 2, 3, 10, 0)) for i in range(4)]
+    df = frame(spark, good + bad)
+    written = silver.clean(df).select(*SILVER_PARTITIONS)
+    a = {(r.anio, r.mes): r for r in silver.audit_from_counts(df, written).collect()}
+    assert (a[(2024, 1)].filas_entrada, a[(2024, 1)].filas_salida, a[(2024, 1)].pct_retenido) == (3, 3, 100.0)
+    assert (a[(2024, 2)].filas_entrada, a[(2024, 2)].filas_salida, a[(2024, 2)].pct_retenido) == (4, 0, 0.0)
+    direct = silver.audit(df)
+    got = silver.audit_from_counts(df, written)
+    assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0
