@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import SILVER_PARTITIONS
 from ..operators import conform as CF
@@ -18,7 +19,7 @@ def conformed_bronze(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
 
 
 def run(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_path: str, run_id: str) -> DataFrame:
-    """Write silver (dynamic partition overwrite) and append the audit of this run.
+    """Write silver (dynamic partition overwrite) and the audit of this run (its own partition).
 
     The write is the only pass over the data. The audit is computed from row
     counts afterwards: rows in per bronze file month and rows out per written
@@ -31,4 +32,4 @@ def run(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_pa
     written = WR.read_silver(spark, silver_path).select(*SILVER_PARTITIONS)
     audit = SV.audit_from_counts(bronze, written)
     WR.write_audit(audit, audit_path, run_id)
-    return spark.read.parquet(audit_path)
+    return WR.read_audit(spark, audit_path).where(F.col("run_id") == run_id)

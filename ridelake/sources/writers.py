@@ -33,11 +33,25 @@ def write_silver(silver: DataFrame, path: str) -> None:
     write_partitioned(silver, path, SILVER_PARTITIONS)
 
 
+AUDIT_SCHEMA = ("tipo_vehiculo string, anio int, mes int, filas_entrada long, filas_salida long, "
+                "pct_retenido double, run_ts timestamp, run_id string")
+
+
 def write_audit(audit: DataFrame, path: str, run_id: str) -> None:
-    """K5: append audit rows tagged with the run (replays are told apart by ``run_id``)."""
+    """K5: audit rows of one run, partitioned by ``run_id`` with dynamic overwrite.
+
+    Runs accumulate side by side; re-running the same run (a retried job)
+    replaces that run's rows instead of appending a second copy.
+    """
     from pyspark.sql import functions as F
-    audit.withColumn("run_id", F.lit(run_id)).withColumn("run_ts", F.current_timestamp()) \
-         .write.mode("append").parquet(path)
+    (audit.withColumn("run_ts", F.current_timestamp()).withColumn("run_id", F.lit(run_id))
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("run_id").parquet(path))
+
+
+def read_audit(spark, path: str) -> DataFrame:
+    """The audit table with its declared schema (``run_id`` stays a string)."""
+    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
 def read_silver(spark, path: str, extra_partitions: tuple[tuple[str, str], ...] = ()) -> DataFrame:

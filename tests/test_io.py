@@ -60,3 +60,18 @@ def test_manifest_month_table(spark):
     r = m.where("tipo_vehiculo = 'fhvhv' AND anio = 2026 AND mes = 5").first()
     assert r.archivo == "fhvhv_tripdata_2026-05.parquet"
     assert r.destino == "bronze/fhvhv/2026/fhvhv_tripdata_2026-05.parquet"
+
+
+def test_silver_job_rerun_replaces_its_audit(spark):
+    """Re-running a run id replaces that run's audit rows; another run id adds its own."""
+    from ridelake.plans import silver_job
+    from ridelake.queries import bronze_files
+    from ridelake.sources import writers as WR
+    from conftest import SF_SMALL
+    folders = bronze_files(spark, SF_SMALL, False)
+    root = scratch_path(spark, "silver-job-rerun")
+    a1 = silver_job.run(spark, folders, f"{root}/silver", f"{root}/audit", "r1").count()
+    silver_job.run(spark, folders, f"{root}/silver", f"{root}/audit", "r1")
+    assert WR.read_audit(spark, f"{root}/audit").count() == a1
+    silver_job.run(spark, folders, f"{root}/silver", f"{root}/audit", "r2")
+    assert WR.read_audit(spark, f"{root}/audit").count() == 2 * a1
