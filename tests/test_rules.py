@@ -66,3 +66,14 @@ def test_derived_columns_use_file_month(spark):
     out = silver.clean(frame(spark, [row])).first()
     assert out.duracion_min == 45.0 and out.hora == 23 and out.dia_semana == 1  # Sunday
     assert (out.anio, out.mes) == (2024, 1)
+
+
+def test_duration_is_wall_clock_across_dst(spark):
+    """Trip timestamps are wall-clock (timestamp_ntz): 01:30 → 03:30 on the 2023-03-12 DST change is
+    120 minutes in the New York session zone, not the 60 an instant-based timestamp would give."""
+    assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    row = trip(pickup=dt.datetime(2023, 3, 12, 1, 30), minutes=120, file_anio=2023, file_mes=3)
+    df = frame(spark, [row])
+    assert dict(df.dtypes)["pickup_datetime"] == "timestamp_ntz"
+    out = silver.clean(df).first()
+    assert out.duracion_min == 120.0 and out.hora == 1
