@@ -35,3 +35,14 @@ def test_error_metrics_zero_on_perfect_forecast(spark):
     pred = s.select("tipo_vehiculo", "fecha", F.col("total_viajes").cast("double").alias("prediccion"))
     m = FC.error_metrics(pred, s, ["tipo_vehiculo"]).collect()
     assert all(r.mae == 0 and r.rmse == 0 and r.mape == 0 for r in m)
+
+
+def test_cluster_job_writes_complete_dimension(spark):
+    from ridelake.plans import cluster_job
+    from ridelake.session import scratch_path
+    feats = zone_features_df(spark, SF_MID)
+    dim = cluster_job.run(feats, scratch_path(spark, "dim_cluster_zonas"))
+    assert dim.columns == ["location_id", "cluster", "perfil_zona"]
+    assert dim.count() == FE.cluster_input(feats).count()
+    assert dim.select("location_id").distinct().count() == dim.count()
+    assert {r.cluster for r in dim.select("cluster").distinct().collect()} == {0, 1, 2, 3}
