@@ -17,7 +17,7 @@ from ..contracts import SILVER_PARTITIONS, VEHICLE_TYPES
 from ..operators import conform as CF
 from ..operators import silver as SV
 from ..sources import writers as WR
-from ..sources.bronze import FILE_MONTH_PATTERN, raw_schema
+from ..sources.bronze import file_month_columns, raw_schema
 
 
 # Upper bound on the bronze bytes one type's file stream takes into a micro-batch.
@@ -44,9 +44,7 @@ def bronze_stream(spark: SparkSession, folders: dict[str, str], max_files_per_tr
         else:
             r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
         raw = r.parquet(folders[tipo])
-        path = F.col("_metadata.file_path")
-        raw = raw.withColumns({"file_anio": F.regexp_extract(path, FILE_MONTH_PATTERN, 1).cast("int"),
-                               "file_mes": F.regexp_extract(path, FILE_MONTH_PATTERN, 2).cast("int")})
+        raw = raw.withColumns(file_month_columns(F.col("_metadata.file_path")))
         parts.append(CF.conform(raw, tipo, keep=("file_anio", "file_mes")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 

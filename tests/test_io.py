@@ -75,3 +75,16 @@ def test_silver_job_rerun_replaces_its_audit(spark):
     assert WR.read_audit(spark, f"{root}/audit").count() == a1
     silver_job.run(spark, folders, f"{root}/silver", f"{root}/audit", "r2")
     assert WR.read_audit(spark, f"{root}/audit").count() == 2 * a1
+
+
+def test_file_without_month_in_path_reads_with_null_month(spark):
+    """A bronze file whose name carries no month is read (NULL file month, so its rows fail the
+    month rule and show in the audit) instead of failing the scan under ANSI casts."""
+    from conftest import SF_SMALL
+    from ridelake.sources import fixtures as FX
+    root = scratch_path(spark, "bronze-nomonth")
+    raw = FX.raw_frame(FX.trips_bronze(spark, SF_SMALL), "yellow").drop("trip_id", "file_anio", "file_mes")
+    raw.limit(5).write.parquet(f"{root}/yellow/yellow_tripdata_unknown.parquet")
+    df = BR.read_bronze(spark, f"{root}/yellow", "yellow")
+    rows = df.select("file_anio", "file_mes").collect()
+    assert len(rows) == 5 and all(r.file_anio is None and r.file_mes is None for r in rows)
