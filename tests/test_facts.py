@@ -60,3 +60,31 @@ def test_zone_base_size_bounded_by_grain(spark):
     keys = ["tipo_vehiculo", "origen", "location_id", "anio", "mes", "dia", "hora"]
     assert base.count() == base.select(*keys).distinct().count()
     assert base.agg(F.sum("n")).first()[0] == 2 * s.count()
+
+
+def test_gold_job_writes_every_table_equal_to_direct_aggregates(spark):
+    """One run of the gold job: every table it writes, read back, equals the direct aggregate."""
+    from ridelake.operators import dims, features
+    from ridelake.plans import gold_job
+    from ridelake.session import scratch_path
+    from ridelake.sources import writers as WR
+    root = scratch_path(spark, "gold-job-all")
+    WR.write_silver(silver_df(spark, SF_SMALL, multi=True), f"{root}/silver")
+    s = spark.read.parquet(f"{root}/silver")
+    paths = gold_job.run(spark, f"{root}/silver", f"{root}/gold")
+    direct = {
+        "descriptivo/viajes_por_hora": facts.trips_by_hour(s),
+        "descriptivo/viajes_por_zona": facts.trips_by_zone(s),
+        "descriptivo/tendencia_mensual": facts.monthly_trend(s),
+        "diagnostico/tarifas_por_zona": facts.fares_by_zone(s),
+        "diagnostico/comparacion_vehiculos": facts.vehicle_comparison(s),
+        "diagnostico/duracion_distancia": facts.duration_distance(s),
+        "predictivo/features_serie_tiempo": features.daily_series(s),
+        "predictivo/features_clustering": features.zone_features(s),
+        "dims/dim_tiempo": dims.calendar_years(dims.year_bounds(s)),
+    }
+    assert set(direct) <= set(paths)
+    for name, want in direct.items():
+        got = spark.read.parquet(paths[name]).select(*want.columns)
+        want = want.select(*[F.col(c).cast(t) for c, t in got.dtypes])  # partition columns read back as int
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
