@@ -107,3 +107,10 @@ def test_train_test_split_scans_source_once(spark):
     p = plan(REGISTRY["train_test_split_time"][0](spark, SF_SMALL))
     assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1
     assert "Join" not in p
+
+
+def test_stored_layer_audit_reads_no_data_columns(spark):
+    """Bronze vs stored silver counts come from footers and partition paths only."""
+    p = plan(REGISTRY["layer_audit_stored"][0](spark, SF_SMALL))
+    schemas = re.findall(r"ReadSchema: (\S+)", p)
+    assert schemas and all(s == "struct<>" for s in schemas)
