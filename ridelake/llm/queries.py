@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, secret_scan
+from . import bpe, chat, decontaminate, fingerprints, language, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,10 @@ def q_chat(spark, sf_dir):
 def q_decontaminate(spark, sf_dir):
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@register("op7_arc_to_warc")
+def q_warc(spark, sf_dir):
+    """Every page through a legacy archive and its WARC form."""
+    back = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
