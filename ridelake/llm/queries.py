@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, secret_scan, warc
+from . import bpe, chat, decontaminate, fingerprints, language, lm_score, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def q_warc(spark, sf_dir):
     """Every page through a legacy archive and its WARC form."""
     back = warc.archive_pages(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op3_pseudo_likelihood")
+def q_pseudo_likelihood(spark, sf_dir):
+    """Score of every document under a network trained on all of them."""
+    return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
