@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, lm_score, secret_scan, warc
+from . import bpe, chat, decontaminate, fingerprints, language, lm_score, near_dup, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def q_warc(spark, sf_dir):
 def q_pseudo_likelihood(spark, sf_dir):
     """Score of every document under a network trained on all of them."""
     return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+@register("op9_order_minhash")
+def q_near_duplicates(spark, sf_dir):
+    """Near-duplicate class of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
