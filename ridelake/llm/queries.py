@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, lm_score, near_dup, secret_scan, warc
+from . import bpe, chat, decontaminate, fingerprints, language, lm_score, near_dup, repeats, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,10 @@ def q_pseudo_likelihood(spark, sf_dir):
 def q_near_duplicates(spark, sf_dir):
     """Near-duplicate class of every document."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op10_front_coded_merge")
+def q_repeats(spark, sf_dir):
+    """What is left of every document without the 50-byte strings that smaller ids hold."""
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
