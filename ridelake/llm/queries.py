@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,3 +94,6 @@ def q_repeats(spark, sf_dir):
     """What is left of every document without the 50-byte strings that smaller ids hold."""
     left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
