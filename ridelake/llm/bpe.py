@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE_PIECES = 1 << 18   # pieces a worker remembers; the cache is emptied when full
-CACHE_PAIRS = 1 << 19    # token pairs a worker remembers
+CACHE_PIECES = 1 << 19   # pieces a worker remembers; the cache is emptied when full
+CACHE_PAIRS = 1 << 20    # token pairs a worker remembers
 LONG_TEXT = 1 << 20       # texts of more characters are encoded in batches of pieces
 CACHE_BYTES = 64         # longer pieces are not remembered
 
@@ -31,19 +31,30 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge_by_rank(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Plain byte-pair merging, quadratic; for short strings."""
-    never, rank = 1 << 62, ranks.get
+NEVER = 1 << 62
+
+
+def merges(piece: bytes, ranks: dict[bytes, int]):
+    """Plain byte-pair merging, quadratic; for short strings. Yields the rank of each merge and the parts after it."""
+    rank = ranks.get
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    joins = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
-    while joins and (lowest := min(joins)) < never:
+    joins = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    yield -1, parts
+    while joins and (lowest := min(joins)) < NEVER:
         at = joins.index(lowest)
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
         del joins[at]
         if at < len(joins):
-            joins[at] = rank(parts[at] + parts[at + 1], never)
+            joins[at] = rank(parts[at] + parts[at + 1], NEVER)
         if at:
-            joins[at - 1] = rank(parts[at - 1] + parts[at], never)
+            joins[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
+        yield lowest, parts
+
+
+def merge_by_rank(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    parts: list[bytes] = []
+    for _, parts in merges(piece, ranks):
+        pass
     return [ranks[p] for p in parts]
 
 
@@ -63,36 +74,79 @@ class Codec:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.tails = {token[i:] for token in ranks for i in range(len(token))}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.single: dict[int, bool] = {}
+        # every tail of a token, with its own rank where it is a token itself
+        self.tails = {token[i:]: ranks.get(token[i:], -1) for token in ranks for i in range(len(token))}
+        self.pairs: dict[int, bool] = {}
+        self.courses: dict[int, tuple[list[int], list[bytes], list[bytes], bool]] = {}
         self.pieces: dict[str, tuple[str, int, bytes]] = {}
 
-    def stands(self, token: int) -> bool:
-        """Whether merging the token's own bytes gives the token."""
-        if (known := self.single.get(token)) is None:
-            known = self.single[token] = merge_by_rank(self.tokens[token], self.ranks) == [token]
+    def course(self, token: int) -> tuple[list[int], list[bytes], list[bytes], bool]:
+        """How the token's own bytes merge: rank of each merge, first and last part around it, whether the token results."""
+        if (known := self.courses.get(token)) is None:
+            steps = [(rank, parts[0], parts[-1]) for rank, parts in merges(self.tokens[token], self.ranks)]
+            known = ([s[0] for s in steps[1:]] + [NEVER], [s[1] for s in steps], [s[2] for s in steps],
+                     steps[-1][1] == self.tokens[token])
+            self.courses[token] = known
         return known
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether merging the bytes of both tokens gives just these two."""
-        if (known := self.pairs.get((left, right))) is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            known = merge_by_rank(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
-            self.pairs[left, right] = known
+        """Whether merging the bytes of both tokens gives just these two.
+
+        Either side merges by itself as long as no merge crosses between them;
+        so their courses are followed together, lowest rank first, leftmost on a
+        tie, until the parts at the boundary would merge before the next step of both.
+        """
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        ranks_a, _, lasts, _ = self.course(left)
+        ranks_b, firsts, _, _ = self.course(right)
+        i = j = 0
+        cross = self.ranks.get(lasts[0] + firsts[0], NEVER)
+        while True:
+            a, b = ranks_a[i], ranks_b[j]
+            if cross < a and cross <= b:
+                known = False
+                break
+            if a == b == NEVER:
+                known = True
+                break
+            if a <= b:
+                i += 1
+            else:
+                j += 1
+            cross = self.ranks.get(lasts[i] + firsts[j], NEVER)
+        self.pairs[left << 32 | right] = known
         return known
 
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The one valid last token of ``data[:end]``, given those of all shorter prefixes."""
-        ranks, tails, start = self.ranks, self.tails, end - 1
-        while start >= 0 and data[start:end] in tails:
-            start -= 1
-        for begin in range(start + 1, end):  # the longest is most often the one
-            token = ranks.get(data[begin:end])
-            if token is not None and self.stands(token) and (begin == 0 or self.compatible(last[begin], token)):
-                return token
-        raise ValueError("the ranks lack a token for some byte")
+    def fill(self, data: bytes, last: list[int], stop: int) -> None:
+        """Extend ``last`` by the one valid last token of each longer prefix of ``data``, up to ``stop`` bytes.
+
+        Going back from the end of a prefix, the bytes passed stay the tail of
+        some token only so far; of the tokens met, the longest that can follow the
+        prefix before it is tried first.
+        """
+        tail, pair, course = self.tails.get, self.pairs.get, self.courses.get
+        for end in range(len(last), stop + 1):
+            begin, met = end - 1, []
+            token = tail(data[begin:end])
+            while token is not None:
+                if token >= 0:
+                    met.append((begin, token))
+                if not begin:
+                    break
+                begin -= 1
+                token = tail(data[begin:end])
+            for begin, token in reversed(met):
+                if not (course(token) or self.course(token))[3]:
+                    continue
+                if begin:
+                    fits = pair(last[begin] << 32 | token)
+                    if not (self.compatible(last[begin], token) if fits is None else fits):
+                        continue
+                last.append(token)
+                break
+            else:
+                raise ValueError("the ranks lack a token for some byte")
 
     def table(self, data: bytes) -> PrefixTable:
         return PrefixTable(self, data)
@@ -116,11 +170,8 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         """Exact encoding of the longer string; no earlier entry changes."""
-        begin = len(self.data) + 1
         self.data += more
-        data, keep, token = bytes(self.data), self.last.append, self.codec.last_token
-        for end in range(begin, len(data) + 1):
-            keep(token(data, end, self.last))
+        self.codec.fill(bytes(self.data), self.last, len(self.data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` in place of ``data[start:stop]``; returns how many entries were computed.
@@ -132,7 +183,7 @@ class PrefixTable:
         data = bytes(self.data[:start]) + new + bytes(self.data[stop:])
         last, agree, done = old[:start + 1], 0, 0
         for end in range(start + 1, len(data) + 1):
-            last.append(self.codec.last_token(data, end, last))
+            self.codec.fill(data, last, end)
             done += 1
             was = end - shift
             agree = agree + 1 if was > stop and old[was] == last[-1] else 0
