@@ -14,7 +14,7 @@ code sets, zone ids, dates, labels), stated together in natural order:
 - airport zones (classification target): 1, 132, 138
 - peak hours: 7, 8, 17, 18
 - non-geographic zones: 264, 265
-- ingest-failure days excluded from series: 2023-09-22, 2023-09-23, 2023-09-24
+- ingest-failure days excluded from the yellow series (and no other): 2023-09-22, 2023-09-23, 2023-09-24
 - forecast horizon and hold-out: 90 days
 - severity labels: OK (0 %), BAJO (<= 1 %), REVISAR (<= 5 %), CRITICO (above)
 - cluster count 4; elbow k = 2..9, 10 restarts, seed 42
@@ -41,7 +41,7 @@ NEGATIVE_FARE_ERROR_PAYMENTS = (0, 1, 2)
 AIRPORT_ZONES = (1, 132, 138)
 PEAK_HOURS = (7, 8, 17, 18)
 NON_GEO_ZONES = (264, 265)
-EXCLUDED_DAYS = ("2023-09-22", "2023-09-23", "2023-09-24")
+EXCLUDED_DAYS = {"yellow": ("2023-09-22", "2023-09-23", "2023-09-24")}
 HORIZON_DAYS = 90
 
 SEVERITY_LEVELS = (("OK", 0.0), ("BAJO", 1.0), ("REVISAR", 5.0), ("CRITICO", None))
@@ -51,7 +51,6 @@ ELBOW_K = tuple(range(2, 10))
 ELBOW_RESTARTS = 10
 SEED = 42
 
-DOWNLOAD_YEARS = (2023, 2024, 2025, 2026)
 DOWNLOAD_MONTHS = {2023: tuple(range(1, 13)), 2024: tuple(range(1, 13)),
                    2025: tuple(range(1, 13)), 2026: tuple(range(1, 6))}
 FILE_PREFIX = {"yellow": "yellow_tripdata", "green": "green_tripdata",

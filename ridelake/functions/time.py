@@ -11,33 +11,6 @@ def duration_minutes(pickup: str = "pickup_datetime", dropoff: str = "dropoff_da
     return (F.unix_timestamp(F.col(dropoff)) - F.unix_timestamp(F.col(pickup))) / 60
 
 
-def _as_col(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)
-
-
-def month_start(year, month) -> Column:
-    """First instant (timestamp_ntz) of a year/month given as columns or ints."""
-    return F.make_timestamp_ntz(_as_col(year), _as_col(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-
-
-def in_month(ts: str | Column, year, month) -> Column:
-    """Half-open ``[month start, next month start)`` test.
-
-    Equal to ``year(ts) = year AND month(ts) = month`` but, with literal
-    year/month, a plain range that Parquet row-group statistics can skip on.
-    """
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    if isinstance(year, int) and isinstance(month, int):
-        nxt_y, nxt_m = (year + 1, 1) if month == 12 else (year, month + 1)
-        lo = F.lit(f"{year:04d}-{month:02d}-01 00:00:00").cast("timestamp_ntz")
-        hi = F.lit(f"{nxt_y:04d}-{nxt_m:02d}-01 00:00:00").cast("timestamp_ntz")
-        return (ts >= lo) & (ts < hi)
-    y, m = _as_col(year), _as_col(month)
-    nxt_y = F.when(m == 12, y + 1).otherwise(y)
-    nxt_m = F.when(m == 12, F.lit(1)).otherwise(m + 1)
-    return (ts >= month_start(y, m)) & (ts < month_start(nxt_y, nxt_m))
-
-
 def calendar_attributes(day: str = "fecha") -> dict[str, Column]:
     """Calendar columns for a date column (names of the calendar dimension)."""
     d = F.col(day)

@@ -57,7 +57,8 @@ def zone_scaled(features: DataFrame) -> DataFrame:
 
 
 def _fit(data: DataFrame, k: int, seed: int) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=TOL, featuresCol="features").fit(data)
+    # random starts: with a few hundred zones the passes of the parallel start cost more than the iterations they save
+    return KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=TOL, initMode="random", featuresCol="features").fit(data)
 
 
 def best_fit(data: DataFrame, k: int, restarts: int = C.ELBOW_RESTARTS, seed: int = C.SEED,
@@ -115,7 +116,8 @@ def assign_clusters(features: DataFrame, k: int = C.N_CLUSTERS, restarts: int =
     data, _ = _prepared(features)
     with ThreadPoolExecutor(max_workers=threads) as pool:
         model = best_fit(data, k, restarts, seed, pool)
-    out = model.transform(data).drop("features")
+    out = model.transform(data).drop("features").checkpoint(eager=True)
+    data.unpersist()
     return out
 
 

@@ -6,10 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import calendar_attributes
-from .joins import broadcast_bounded
-
-# Upper bound on zone catalogue rows, checked before the catalogue is broadcast.
-MAX_ZONES = 10_000
 
 
 def dim_location(zones_raw: DataFrame) -> DataFrame:
@@ -40,6 +36,11 @@ def year_bounds(df: DataFrame, ts: str = "pickup_datetime") -> DataFrame:
     return df.agg(F.min(F.year(ts)).alias("min_anio"), F.max(F.year(ts)).alias("max_anio"))
 
 
+def partition_year_bounds(silver: DataFrame) -> DataFrame:
+    """The same from stored silver's ``anio``: partition values, which are the pickups' years; no data column is read."""
+    return silver.agg(F.min("anio").alias("min_anio"), F.max("anio").alias("max_anio"))
+
+
 def _nth_weekday(year: Column, month: int, dow: str, n: int) -> Column:
     """n-th given weekday of a month (n ≥ 1)."""
     before = F.date_sub(F.make_date(year, F.lit(month), F.lit(1)), 1)
@@ -91,11 +92,10 @@ def years_of(bounds: DataFrame) -> DataFrame:
 
 
 def zone_report(zone_fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Zone totals per type enriched with the zone catalogue (broadcast, size-checked)."""
+    """Zone totals per type enriched with the zone catalogue (Spark broadcasts it below its size threshold)."""
     totals = (zone_fact.groupBy("tipo_vehiculo", "location_id")
                        .agg(F.sum("total_viajes_origen").alias("total_viajes_origen"),
                             F.sum("total_viajes_destino").alias("total_viajes_destino")))
-    d = broadcast_bounded(dim, MAX_ZONES)
-    return (totals.join(d, on="location_id", how="left")
+    return (totals.join(dim, on="location_id", how="left")
                   .select("tipo_vehiculo", "location_id", "borough", "zona", "tipo_zona",
                           "total_viajes_origen", "total_viajes_destino"))

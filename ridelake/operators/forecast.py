@@ -5,10 +5,10 @@ An additive model in the spirit of the published decomposable forecaster
 changepoints, yearly and weekly Fourier seasonality and optional holiday
 indicators, fitted as a MAP estimate with Gaussian priors (ridge).
 
-Spark builds every regressor column; one grouped-map task per series solves
-the small normal equations with NumPy. A group is one daily series, so its
-size is bounded by the number of days (not by trips), and series fan out
-across executors; widen the series key (e.g. type × zone) to use more tasks.
+One grouped-map task per series builds the regressors and solves the small
+normal equations with NumPy; day, value and holiday flags are all that travels.
+A group is one daily series, so its size is bounded by the number of days (not
+by trips), and series fan out across executors: by type, or by type and zone.
 """
 
 from __future__ import annotations
@@ -40,15 +40,6 @@ Z_95 = 1.959963984540054
 MAPE_EPS = 2.220446049250313e-16
 
 
-def holiday_names() -> list[str]:
-    names = []
-    for n, _, _ in dims.FIXED_DATE_HOLIDAYS:
-        names += [n, f"{n} (observed)"]
-    names += [n for n, *_ in dims.NTH_WEEKDAY_HOLIDAYS]
-    names += [n for n, *_ in dims.LAST_WEEKDAY_HOLIDAYS]
-    return names
-
-
 def holiday_flags(day: str = "fecha") -> dict[str, Column]:
     """0/1 column per holiday name: the day equals that holiday in its own year."""
     d = F.col(day)
@@ -73,65 +64,46 @@ def holiday_flags(day: str = "fecha") -> dict[str, Column]:
     return flags
 
 
-def _design(frame: DataFrame, key: str, use_holidays: bool) -> tuple[DataFrame, list[str], dict[str, str]]:
-    """Add regressor columns; returns the frame, their names and their prior groups."""
-    epoch_days = F.datediff(F.col("fecha"), F.lit("1970-01-01").cast("date")).cast("double")
-    span = F.greatest(F.datediff(F.col("_t1"), F.col("_t0")), F.lit(1)).cast("double")
-    t = F.datediff(F.col("fecha"), F.col("_t0")).cast("double") / span
-    cols: dict[str, Column] = {"x_t": t}
-    groups = {"x_t": "trend"}
+def _regressors(t: np.ndarray, days: np.ndarray, yearly: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Trend, changepoint and seasonal columns over scaled time and epoch days, and their prior scales."""
+    cols, prior = [t], [PRIOR_TREND]
     for j in range(1, N_CHANGEPOINTS + 1):
-        s = CHANGEPOINT_RANGE * j / N_CHANGEPOINTS
-        cols[f"x_cp{j}"] = F.greatest(t - F.lit(s), F.lit(0.0))
-        groups[f"x_cp{j}"] = "changepoint"
-    for order, period, tag in ((YEARLY_ORDER, YEAR_DAYS, "y"), (WEEKLY_ORDER, 7.0, "w")):
+        cols.append(np.maximum(t - CHANGEPOINT_RANGE * j / N_CHANGEPOINTS, 0.0))
+        prior.append(PRIOR_CHANGEPOINT)
+    for order, period in ((YEARLY_ORDER if yearly else 0, YEAR_DAYS), (WEEKLY_ORDER, 7.0)):
         for k in range(1, order + 1):
-            arg = epoch_days * (2.0 * math.pi * k / period)
-            cols[f"x_{tag}s{k}"] = F.sin(arg)
-            cols[f"x_{tag}c{k}"] = F.cos(arg)
-            groups[f"x_{tag}s{k}"] = groups[f"x_{tag}c{k}"] = "yearly" if tag == "y" else "weekly"
-    if use_holidays:
-        for name, c in holiday_flags().items():
-            cols[f"x_{name}"] = c
-            groups[f"x_{name}"] = "holiday"
-    return frame.withColumns(cols), list(cols), groups
-
-
-def _fit_group(xcols: list[str], groups: dict[str, str], key: str):
-    prior = {"trend": PRIOR_TREND, "changepoint": PRIOR_CHANGEPOINT, "yearly": PRIOR_SEASONALITY,
-             "weekly": PRIOR_SEASONALITY, "holiday": PRIOR_HOLIDAY}
-    inv_var = np.array([1.0 / prior[groups[c]] ** 2 for c in xcols])
+            arg = days * (2.0 * math.pi * k / period)
+            cols += [np.sin(arg), np.cos(arg)]
+            prior += [PRIOR_SEASONALITY] * 2
+    return np.column_stack(cols), np.array(prior)
+
+
+OK = "ok"
+NO_TRAINING = "sin_entrenamiento"
 
+
+def _fit_group(keys: list[str], yearly: bool):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("fecha")
+        pdf = pdf.sort_values("fecha", ignore_index=True)
+        out = pdf[[*keys, "fecha", "y"]].assign(es_prediccion=pdf["es_futuro"].astype(bool), estado=OK)
         train = pdf["es_train"].to_numpy(dtype=bool)
-        X = np.column_stack([np.ones(len(pdf)), pdf[xcols].to_numpy(dtype=float)])
-        y = pdf["y"].to_numpy(dtype=float)
-        Xt, yt = X[train], y[train]
-        scale = float(np.max(np.abs(yt))) if train.any() and np.max(np.abs(yt)) > 0 else 1.0
-        ys = yt / scale
-        pen = np.concatenate([[0.0], inv_var])
-        span_days = (pdf.loc[train, "fecha"].max() - pdf.loc[train, "fecha"].min()).days if train.any() else 0
-        if span_days < 365:  # too short for a yearly cycle: drop those terms
-            for i, c in enumerate(xcols, start=1):
-                if groups[c] == "yearly":
-                    pen[i] = 1e12
-        sigma2 = 0.01
-        beta = np.zeros(X.shape[1])
-        if train.sum() > 0:
-            A = Xt.T @ Xt
-            b = Xt.T @ ys
-            for _ in range(2):  # MAP with noise variance re-estimated once
-                beta = np.linalg.solve(A + sigma2 * np.diag(pen) + 1e-9 * np.eye(len(pen)), b)
-                resid = ys - Xt @ beta
-                sigma2 = max(float(np.mean(resid ** 2)), 1e-8)
-        yhat = X @ beta * scale
-        sd = math.sqrt(sigma2) * scale
-        return pd.DataFrame({
-            key: pdf[key].to_numpy(), "fecha": pdf["fecha"].to_numpy(),
-            "prediccion": yhat, "prediccion_min": yhat - Z_95 * sd, "prediccion_max": yhat + Z_95 * sd,
-            "es_prediccion": pdf["es_futuro"].to_numpy(dtype=bool), "y": y,
-        })
+        if not train.any():
+            return out.assign(prediccion=np.nan, prediccion_min=np.nan, prediccion_max=np.nan, estado=NO_TRAINING)
+        days = (pd.to_datetime(pdf["fecha"]) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(dtype=float)
+        first, last = days[train].min(), days[train].max()
+        X, prior = _regressors((days - first) / max(last - first, 1.0), days, yearly)
+        flags = np.stack(pdf["flags"].to_numpy()).astype(float)
+        X = np.column_stack([np.ones(len(pdf)), X, flags])
+        penalty = np.concatenate([[0.0], 1.0 / prior ** 2, np.full(flags.shape[1], 1.0 / PRIOR_HOLIDAY ** 2)])
+        Xt, yt = X[train], pdf["y"].to_numpy(dtype=float)[train]
+        scale = float(np.max(np.abs(yt))) or 1.0
+        ys, sigma2 = yt / scale, 0.01
+        A, b = Xt.T @ Xt, Xt.T @ ys
+        for _ in range(2):  # MAP with noise variance re-estimated once
+            beta = np.linalg.solve(A + sigma2 * np.diag(penalty) + 1e-9 * np.eye(len(penalty)), b)
+            sigma2 = max(float(np.mean((ys - Xt @ beta) ** 2)), 1e-8)
+        yhat, half = X @ beta * scale, Z_95 * math.sqrt(sigma2) * scale
+        return out.assign(prediccion=yhat, prediccion_min=yhat - half, prediccion_max=yhat + half)
     return fit
 
 
@@ -147,32 +119,42 @@ def materialize_series(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fit_predict(observed: DataFrame, key: str = "tipo_vehiculo", horizon: int = C.HORIZON_DAYS,
-                use_holidays: bool = True, train_col: str | None = None) -> DataFrame:
+Keys = str | list[str]
+
+
+def _keys(key: Keys) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def fit_predict(observed: DataFrame, key: Keys = "tipo_vehiculo", horizon: int = C.HORIZON_DAYS,
+                use_holidays: bool = True, train_col: str | None = None, yearly: bool = True) -> DataFrame:
     """ML4/ML5: fit per series on training rows; predict every row plus ``horizon`` future days.
 
-    ``observed`` has ``key, fecha, total_viajes`` (and optionally a boolean
-    ``train_col``; default: every observed row trains). Output: ``key, fecha,
-    prediccion, prediccion_min, prediccion_max, es_prediccion, y``.
+    ``observed`` has the ``key`` column or columns (a series per type, or per type
+    and zone), ``fecha, total_viajes`` (and optionally a boolean ``train_col``;
+    default: every observed row trains). Output: keys, ``fecha, y, es_prediccion,
+    estado, prediccion, prediccion_min, prediccion_max``. A series without a training row keeps
+    its rows, with NULL predictions and ``estado`` saying so. ``yearly=False`` leaves the yearly terms out.
     """
-    obs = materialize_series(observed.select(key, "fecha", F.col("total_viajes").cast("double").alias("y"),
-                                             (F.col(train_col) if train_col else F.lit(True)).alias("es_train")))
-    bounds = (obs.where("es_train").groupBy(key)
-                 .agg(F.min("fecha").alias("_t0"), F.max("fecha").alias("_t1")))
-    last = obs.groupBy(key).agg(F.max("fecha").alias("_last"))
-    future = last.select(key, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon)))
-                         .alias("fecha"), F.lit(None).cast("double").alias("y"), F.lit(False).alias("es_train"))
-    rows = obs.withColumn("es_futuro", F.lit(False))
+    keys = _keys(key)
+    obs = observed.select(*keys, "fecha", F.col("total_viajes").cast("double").alias("y"),
+                          (F.col(train_col) if train_col else F.lit(True)).alias("es_train"), F.lit(False).alias("es_futuro"))
     if horizon > 0:
-        rows = rows.unionByName(future.withColumn("es_futuro", F.lit(True)))
-    # One row per series: AQE turns this into a broadcast join at runtime when the
-    # measured size of ``bounds`` is under the broadcast threshold, with no extra job.
-    rows = rows.join(bounds, key)
-    frame, xcols, groups = _design(rows, key, use_holidays)
-    frame = frame.select(key, "fecha", "y", "es_train", "es_futuro", *xcols)
-    schema = (f"{key} string, fecha date, prediccion double, prediccion_min double, "
-              f"prediccion_max double, es_prediccion boolean, y double")
-    return frame.groupBy(key).applyInPandas(_fit_group(xcols, groups, key), schema)
+        obs = materialize_series(obs)  # read for the rows and for the last day
+        last = obs.groupBy(*keys).agg(F.max("fecha").alias("_last"))
+        days = F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon))).alias("fecha")
+        obs = obs.unionByName(last.select(*keys, days, F.lit(None).cast("double").alias("y"), F.lit(False).alias("es_train"),
+                                          F.lit(True).alias("es_futuro")))
+    flags = F.array(*holiday_flags().values()) if use_holidays else F.array().cast("array<double>")
+    types = dict(observed.dtypes)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + (
+        ", fecha date, y double, es_prediccion boolean, estado string, prediccion double, prediccion_min double, "
+        "prediccion_max double")
+    fitted = obs.withColumn("flags", flags).groupBy(*keys).applyInPandas(_fit_group(keys, yearly), schema)
+    return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("y", *PREDICTIONS)})
+
+
+PREDICTIONS = ("prediccion", "prediccion_min", "prediccion_max")
 
 
 def error_metrics(pred: DataFrame, actual: DataFrame, by: list[str], yhat: str = "prediccion",
@@ -188,32 +170,37 @@ def error_metrics(pred: DataFrame, actual: DataFrame, by: list[str], yhat: str =
         round_half_up(F.sqrt(F.avg(e * e)), 4).alias("rmse"))
 
 
-def seasonal_naive(series: DataFrame, key: str = "tipo_vehiculo", lag_days: int = 7) -> DataFrame:
+def seasonal_naive(series: DataFrame, key: Keys = "tipo_vehiculo", lag_days: int = 7) -> DataFrame:
     """Reference forecast: the value observed ``lag_days`` earlier (an equi-join on the shifted day)."""
-    return series.select(key, F.date_add("fecha", lag_days).alias("fecha"),
+    return series.select(*_keys(key), F.date_add("fecha", lag_days).alias("fecha"),
                          F.col("total_viajes").cast("double").alias("prediccion"))
 
 
-def compare_models(split: DataFrame, key: str = "tipo_vehiculo", exclude: DataFrame | None = None) -> DataFrame:
-    """ML6: hold-out error with and without holidays (trained on ``conjunto = 'train'``)."""
+def compare_models(split: DataFrame, key: Keys = "tipo_vehiculo", exclude: DataFrame | None = None) -> DataFrame:
+    """ML6: hold-out error with and without holidays (trained on ``conjunto = 'train'``).
+
+    ``exclude`` (keys and ``fecha``): days that leave the training of their series, never the test set.
+    A series with test rows but no training rows has NULL errors.
+    """
+    keys = _keys(key)
     split = materialize_series(split)  # read by both fits and the test side
     obs = split.withColumn("_train", F.col("conjunto") == "train")
-    if exclude is not None:  # bad days leave training only, never the test set
-        bad = exclude.select("fecha", F.lit(True).alias("_bad"))
-        obs = obs.join(bad, "fecha", "left") \
+    if exclude is not None:
+        obs = obs.join(exclude.withColumn("_bad", F.lit(True)), [*keys, "fecha"], "left") \
                  .withColumn("_train", F.col("_train") & F.col("_bad").isNull()).drop("_bad")
     test = split.where(F.col("conjunto") == "test")
     out = None
     for name, hol in (("sin_feriados", False), ("con_feriados", True)):
-        fc = fit_predict(obs, key, horizon=0, use_holidays=hol, train_col="_train")
-        m = error_metrics(fc, test, [key]).withColumn("modelo", F.lit(name))
+        fc = fit_predict(obs, keys, horizon=0, use_holidays=hol, train_col="_train")
+        m = error_metrics(fc, test, keys).withColumn("modelo", F.lit(name))
         out = m if out is None else out.unionByName(m)
     return out
 
 
-def demand_forecast(series: DataFrame, key: str = "tipo_vehiculo", exclude: DataFrame | None = None,
+def demand_forecast(series: DataFrame, key: Keys = "tipo_vehiculo", exclude: DataFrame | None = None,
                     horizon: int = C.HORIZON_DAYS, use_holidays: bool = True) -> DataFrame:
-    """ML5: refit on all history (minus excluded days), forecast ``horizon`` days ahead."""
-    hist = series if exclude is None else series.join(exclude, "fecha", "left_anti")
-    fc = fit_predict(hist, key, horizon, use_holidays)
-    return fc.select("fecha", "prediccion", "prediccion_min", "prediccion_max", "es_prediccion", key)
+    """ML5: refit on all history (minus the days excluded for that series), forecast ``horizon`` days ahead."""
+    keys = _keys(key)
+    hist = series if exclude is None else series.join(exclude, [*keys, "fecha"], "left_anti")
+    fc = fit_predict(hist, keys, horizon, use_holidays)
+    return fc.select("fecha", *PREDICTIONS, "es_prediccion", "estado", *keys)

@@ -6,7 +6,7 @@ resume test are DataFrame jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
@@ -34,16 +34,39 @@ def expected_files(years: DataFrame, types=C.VEHICLE_TYPES) -> DataFrame:
                                  archivo).alias("destino"))
 
 
+def existing_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Type, year, month and bytes of the monthly files (or folders of part files) below ``paths``.
+
+    From a listing alone; a file without bytes does not exist for the resume test.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(paths).select("path", "length"))
+    name = F.element_at(F.split(F.substring_index("path", ".parquet", 1), "[/=]"), -1)
+    month = F.substring_index(name, "_", -1)
+    return (files.select(F.substring_index(name, "_", 1).alias("tipo_vehiculo"), F.substring(month, 1, 4).try_cast("int").alias("anio"),
+                         F.substring(month, 6, 2).try_cast("int").alias("mes"), "length")
+                 .groupBy("tipo_vehiculo", "anio", "mes").agg(F.sum("length").alias("bytes")).where(F.col("bytes") > 0))
+
+
 def pending(manifest: DataFrame, existing: DataFrame) -> DataFrame:
     """Files of the manifest with no existing (type, year, month) — resume set."""
-    return manifest.join(existing.select("tipo_vehiculo", "anio", "mes").distinct(),
-                         ["tipo_vehiculo", "anio", "mes"], "left_anti")
+    return manifest.join(existing, ["tipo_vehiculo", "anio", "mes"], "left_anti")
+
+
+# What may become of one file of a download run.
+STATUSES = ("ok", "skip", "not_found", "timeout", "error")
+
+
+def planned_results(manifest: DataFrame, existing: DataFrame) -> DataFrame:
+    """Results of a run that finds nothing new to download: files present are skipped, the others not published."""
+    j = manifest.join(existing, ["tipo_vehiculo", "anio", "mes"], "left")
+    return j.select("archivo", F.when(F.col("bytes").isNotNull(), "skip").otherwise("not_found").alias("estado"),
+                    F.lit(None).cast("double").alias("mb"))
 
 
-def ingest_summary(manifest: DataFrame, existing: DataFrame) -> DataFrame:
-    """Files and rows per status (``existente`` / ``pendiente``)."""
-    counts = existing.groupBy("tipo_vehiculo", "anio", "mes").agg(F.count(F.lit(1)).alias("filas"))
-    j = manifest.join(counts, ["tipo_vehiculo", "anio", "mes"], "left")
-    status = F.when(F.col("filas").isNotNull(), "existente").otherwise("pendiente")
-    return j.groupBy(status.alias("estado")).agg(
-        F.count(F.lit(1)).alias("archivos"), F.coalesce(F.sum("filas"), F.lit(0)).cast("long").alias("filas"))
+def ingest_summary(results: DataFrame) -> DataFrame:
+    """Files and MB downloaded per status, every status listed; ``results`` has ``estado`` and ``mb``."""
+    every = F.explode(F.array(*[F.lit(x) for x in STATUSES])).alias("estado")
+    counts = results.groupBy("estado").agg(F.count(F.lit(1)).alias("archivos"), F.sum("mb").alias("total_mb"))
+    return results.sparkSession.range(1).select(every).join(counts, "estado", "left").select(
+        "estado", F.coalesce("archivos", F.lit(0)).alias("archivos"), F.coalesce("total_mb", F.lit(0.0)).alias("total_mb"))

@@ -12,49 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.numeric import count_if, round_half_up
-from ..functions.time import duration_minutes
-from .rules import file_month_rule
-
-
-def _rule_catalogue() -> dict[str, dict[str, Column]]:
-    """Independent removal rules per type (overlapping; NULL counts as not removed)."""
-    dur = duration_minutes()
-    fare = F.col("fare_amount")
-    dist = F.col("trip_distance")
-    pu_null = F.col("pu_location_id").isNull()
-    do_null = F.col("do_location_id").isNull()
-    ghost = dur < C.DURATION_MIN
-    too_long = dur > C.DURATION_MAX
-    bad_year = ~F.year("pickup_datetime").isin(*C.YEARS)
-    gps = (dist <= 0) & (dur > C.GPS_CHECK_MINUTES)
-    taxi_neg = (fare < 0) & F.col("payment_type").isin(*C.NEGATIVE_FARE_ERROR_PAYMENTS)
-    below_min = (fare < C.FARE_MIN) & (fare >= 0)
-    return {
-        "yellow": {
-            "eliminar_fare_negativo": taxi_neg, "eliminar_distancia_gps": gps,
-            "eliminar_fare_extremo": fare > C.FARE_MAX, "eliminar_distancia_extrema": dist > C.DISTANCE_MAX_TAXI,
-            "eliminar_viaje_fantasma": ghost, "eliminar_duracion_extrema": too_long,
-            "eliminar_fecha_corrupta": bad_year, "eliminar_sin_origen": pu_null, "eliminar_sin_destino": do_null,
-        },
-        "green": {
-            "eliminar_fare_negativo": taxi_neg, "eliminar_distancia_gps": gps,
-            "eliminar_fare_extremo": fare > C.FARE_MAX, "eliminar_fare_minimo": below_min,
-            "eliminar_distancia_extrema": dist > C.DISTANCE_MAX_TAXI, "eliminar_viaje_fantasma": ghost,
-            "eliminar_duracion_extrema": too_long, "eliminar_fecha_corrupta": bad_year,
-            "eliminar_sin_origen": pu_null, "eliminar_sin_destino": do_null,
-        },
-        "fhv": {
-            "eliminar_sin_origen": pu_null, "eliminar_sin_destino": do_null, "eliminar_viaje_fantasma": ghost,
-            "eliminar_duracion_extrema": too_long, "eliminar_fecha_corrupta": bad_year,
-        },
-        "fhvhv": {
-            "eliminar_fare_negativo": fare < 0, "eliminar_distancia_gps": gps,
-            "eliminar_viaje_fantasma": ghost, "eliminar_duracion_extrema": too_long,
-            "eliminar_fecha_corrupta": bad_year, "eliminar_fare_minimo": below_min,
-            "eliminar_driver_pay_invalido": F.col("driver_pay") <= 0,
-            "eliminar_distancia_extrema": dist > C.DISTANCE_MAX_FHVHV,
-        },
-    }
+from .rules import cascade_steps, counted_rules
 
 
 def rule_profile(bronze: DataFrame) -> DataFrame:
@@ -64,21 +22,14 @@ def rule_profile(bronze: DataFrame) -> DataFrame:
     aggregation computes every rule of every type (a rule that does not
     apply to a type yields NULL and is dropped after the unpivot).
     """
-    cat = _rule_catalogue()
-    names = sorted({r for rules in cat.values() for r in rules})
     t = F.col("tipo_vehiculo")
     aggs = [F.count(F.lit(1)).alias("total_original")]
-    for r in names:
-        expr = None
-        for tipo, rules in cat.items():
-            if r in rules:
-                cond = t == tipo
-                expr = F.when(cond, rules[r]) if expr is None else expr.when(cond, rules[r])
-        applies = t.isin(*[tp for tp, rules in cat.items() if r in rules])
-        aggs.append(F.when(F.max(applies), count_if(expr)).alias(r))
+    rules = counted_rules()
+    for name, (breaks, types) in rules.items():
+        aggs.append(F.when(F.max(t.isin(*types)), count_if(breaks)).alias(name))
     wide = bronze.groupBy("tipo_vehiculo", F.col("file_anio").alias("anio"),
                           F.col("file_mes").alias("mes")).agg(*aggs)
-    long = wide.unpivot(["tipo_vehiculo", "anio", "mes", "total_original"], names, "regla", "filas")
+    long = wide.unpivot(["tipo_vehiculo", "anio", "mes", "total_original"], list(rules), "regla", "filas")
     return long.where(F.col("filas").isNotNull())
 
 
@@ -95,33 +46,6 @@ def rule_severity(profile: DataFrame) -> DataFrame:
                           round_half_up(pct).alias("pct"), severity(pct).alias("estado"))
 
 
-# The cascade step labels, in step order, as the reference's audit prints them.
-CASCADE_LABELS = (
-    "Fecha corrupta (año/mes no coincide)",
-    "Fare negativo (payment_type inválido)",
-    "Fare fuera de rango [0, max]",
-    "GPS inválido (distancia≈0, duración alta)",
-    "Distancia > máximo",
-    "Duración fuera de rango",
-)
-
-
-def _cascade_steps() -> list[tuple[str, Column]]:
-    """(label, keep-condition) of each ordered cascade step."""
-    dur = duration_minutes()
-    fare = F.col("fare_amount")
-    dist = F.col("trip_distance")
-    keeps = [
-        file_month_rule(),
-        ~((fare < 0) & F.col("payment_type").isin(*C.NEGATIVE_FARE_ERROR_PAYMENTS)),
-        (fare >= 0) & (fare <= C.FARE_MAX),
-        ~((dist <= 0) & (dur > C.GPS_CHECK_MINUTES)),
-        dist <= C.DISTANCE_MAX_TAXI,
-        (dur >= C.DURATION_MIN) & (dur <= C.DURATION_MAX),
-    ]
-    return list(zip(CASCADE_LABELS, keeps))
-
-
 def first_failed_step(steps: list[tuple[str, Column]]) -> Column:
     """Index (1-based) of the first step whose keep-condition is not true; 0 if all hold."""
     expr = None
@@ -131,24 +55,24 @@ def first_failed_step(steps: list[tuple[str, Column]]) -> Column:
     return expr.otherwise(0)
 
 
-def rule_cascade(bronze: DataFrame) -> DataFrame:
-    """Q2: rows removed and remaining after each ordered rule, per type.
+def rule_cascade(bronze: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo",)) -> DataFrame:
+    """Q2: rows removed and remaining after each ordered rule, per ``by`` (type, or type and file month).
 
     One scan: each row is tagged with its first failing step and counted;
     the remaining-rows column is a running sum over the six step rows.
     """
-    steps = _cascade_steps()
+    steps = cascade_steps()
     idx = first_failed_step(steps)
     aggs = [F.count(F.lit(1)).alias("n_inicial")]
     aggs += [count_if(idx == i).alias(f"s{i}") for i in range(1, len(steps) + 1)]
-    wide = bronze.groupBy("tipo_vehiculo").agg(*aggs)
+    wide = bronze.groupBy(*by).agg(*aggs)
     stack = F.explode(F.array(*[
         F.struct(F.lit(i).alias("paso"), F.lit(label).alias("regla"), F.col(f"s{i}").alias("filas_eliminadas"))
         for i, (label, _) in enumerate(steps, start=1)])).alias("st")
-    long = wide.select("tipo_vehiculo", "n_inicial", stack).select("tipo_vehiculo", "n_inicial", "st.*")
-    w = Window.partitionBy("tipo_vehiculo").orderBy("paso").rowsBetween(Window.unboundedPreceding, 0)
+    long = wide.select(*by, "n_inicial", stack).select(*by, "n_inicial", "st.*")
+    w = Window.partitionBy(*by).orderBy("paso").rowsBetween(Window.unboundedPreceding, 0)
     return long.select(
-        "tipo_vehiculo", "paso", "regla", "filas_eliminadas",
+        *by, "paso", "regla", "filas_eliminadas",
         (F.col("n_inicial") - F.sum("filas_eliminadas").over(w)).alias("filas_restantes"),
         round_half_up(F.col("filas_eliminadas") * 100.0 / F.col("n_inicial"), 3).alias("pct_del_total_inicial"),
     )
@@ -160,7 +84,7 @@ def lost_refunds(bronze: DataFrame) -> DataFrame:
     These rows are valid refunds under the cleaning rule but are removed by
     the cascade's stricter fare-range step.
     """
-    steps = _cascade_steps()
+    steps = cascade_steps()
     idx = first_failed_step(steps)
     lost = ((idx == 0) | (idx > 2)) & (F.col("fare_amount") < 0) \
         & ~F.col("payment_type").isin(*C.NEGATIVE_FARE_ERROR_PAYMENTS)
@@ -179,9 +103,9 @@ def layer_audit(bronze: DataFrame, silver: DataFrame) -> DataFrame:
                      .alias("pct_retenido"))
 
 
-def audit_latest(audit_log: DataFrame, order_col: str = "run_ts") -> DataFrame:
-    """Q4: the latest audit entry per (type, year, month) of a log with repeats."""
-    w = Window.partitionBy("tipo_vehiculo", "anio", "mes").orderBy(F.col(order_col).desc())
+def audit_latest(audit_log: DataFrame) -> DataFrame:
+    """Q4: the latest audit entry per (type, year, month) of a log with repeats, by run time (ties: run id)."""
+    w = Window.partitionBy("tipo_vehiculo", "anio", "mes").orderBy(F.col("run_ts").desc(), F.col("run_id").desc())
     return audit_log.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

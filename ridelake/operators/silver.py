@@ -11,10 +11,10 @@ from ..functions.time import duration_minutes
 from .rules import file_month_rule, type_rule, verdict
 
 
-def derive_columns(df: DataFrame, year="file_anio", month="file_mes") -> DataFrame:
+def derive_columns(df: DataFrame, year: Column | str = "file_anio", month: Column | str = "file_mes") -> DataFrame:
     """Duration, pickup hour and weekday, and the *file's* year/month."""
-    y = F.col(year) if isinstance(year, str) else F.lit(year)
-    m = F.col(month) if isinstance(month, str) else F.lit(month)
+    y = F.col(year) if isinstance(year, str) else year
+    m = F.col(month) if isinstance(month, str) else month
     return df.withColumns({
         "duracion_min": duration_minutes(),
         "hora": F.hour("pickup_datetime"),
@@ -25,16 +25,18 @@ def derive_columns(df: DataFrame, year="file_anio", month="file_mes") -> DataFra
 
 
 def clean(bronze: DataFrame, tipo: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """conformed bronze rows (with ``file_anio``/``file_mes``) → silver rows.
+    """conformed bronze rows (with ``file_ym``) → silver rows.
 
     One filter on the per-type rule and the file-month rule, then the
     derived columns; output is the 21 silver columns (+ ``keep``). The
     filter is the bare conjunction (a NULL verdict drops the row just as
     false does): over a union of per-type scans the type CASE folds to one
     rule per branch and its plain comparisons reach the Parquet scan as
-    pushed filters.
+    pushed filters. Past the month rule the file's month is the pickup's, which
+    is what the derived columns then use: the path is read by the rule alone.
     """
-    out = derive_columns(bronze.where(type_rule(tipo) & file_month_rule()))
+    p = F.col("pickup_datetime")
+    out = derive_columns(bronze.where(type_rule(tipo) & file_month_rule()), F.year(p), F.month(p))
     return out.select(*keep, *SILVER_COLUMNS)
 
 

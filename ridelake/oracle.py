@@ -44,15 +44,16 @@ def _bronze_sql(multi: bool) -> str:
     CASE WHEN tipo_vehiculo IN ('yellow', 'green') THEN CAST(trip_id % 6 AS DOUBLE) END AS passenger_count,
     CASE WHEN tipo_vehiculo IN ('yellow', 'green') AND trip_id % 19 <> 0
          THEN CAST(trip_id % 7 AS INTEGER) END AS payment_type
-  FROM (
+  FROM (SELECT *, CASE WHEN tipo_vehiculo <> 'fhv' THEN any_fare END AS fare FROM (
     SELECT event_id AS trip_id, user_id,
       CASE event_type WHEN 'click' THEN 'yellow' WHEN 'view' THEN 'green'
-                      WHEN 'signup' THEN 'fhv' WHEN 'purchase' THEN 'fhvhv' END AS tipo_vehiculo,
+                      WHEN 'signup' THEN 'fhv' WHEN 'purchase' THEN 'fhvhv'
+        ELSE CASE event_id % 4 WHEN 0 THEN 'yellow' WHEN 1 THEN 'green' WHEN 2 THEN 'fhv' ELSE 'fhvhv' END END AS tipo_vehiculo,
       {pickup} AS pickup_datetime,
       CAST(round(value * 60) AS BIGINT) AS secs,
-      CASE WHEN event_type = 'signup' THEN NULL ELSE (event_id * 37) % 40000 / 100 - 20 END AS fare
-    FROM events WHERE event_type <> 'error'
-  ) e
+      (event_id * 37) % 40000 / 100 - 20 AS any_fare
+    FROM events
+  ) e0) e
 )"""
 
 

@@ -17,5 +17,5 @@ def run(zone_features: DataFrame, path: str) -> DataFrame:
     zone catalogue. Returns the dimension read back.
     """
     dim = CL.zone_clusters(FE.cluster_input(zone_features))
-    WR.write_partitioned(dim, path)
+    WR.write_partitioned(dim, path, whole=True)
     return zone_features.sparkSession.read.parquet(path)

@@ -5,8 +5,8 @@ zone-hour base (type × side × zone × day × hour, bounded by the calendar and
 the zone catalogue, not by trips), which is checkpointed to the shared
 checkpoint folder; every aggregate table is a roll-up of that base. Only the
 trip-level classification sample reads silver again. Each table is one
-partitioned write with dynamic overwrite, so re-runs replace partitions
-instead of appending duplicates.
+overwriting write of the whole table, so a re-run leaves nothing of an
+earlier one, such as a year that silver no longer has.
 """
 
 from __future__ import annotations
@@ -37,14 +37,16 @@ TRIP_TABLES = (
 )
 
 
-def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame | None = None) -> dict[str, str]:
+def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame | None = None,
+        sample_one_in: int = features.SAMPLE_ONE_IN) -> dict[str, str]:
+    """``sample_one_in``: share of trips in the classification features (1: all of them)."""
     checkpoint_root(spark)  # the base is checkpointed into the shared folder
     silver = spark.read.parquet(silver_path)
     out = {}
 
     def write(name, df, parts):
         path = f"{gold_path}/{name}"
-        WR.write_partitioned(df, path, parts)
+        WR.write_partitioned(df, path, parts, whole=True)
         out[name] = path
 
     # Reliable checkpoint: the base is computed by one silver scan and survives
@@ -56,7 +58,7 @@ def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame
     for name, build, parts in ZONE_TABLES:
         write(name, build(base), parts)
     for name, build, parts in TRIP_TABLES:
-        write(name, build(silver), parts)
+        write(name, build(silver, one_in=sample_one_in), parts)
     write("dims/dim_tiempo", dims.calendar_years(facts.year_bounds_from(base)), ())
     if zones is not None:
         write("dims/dim_ubicacion", dims.dim_location(zones), ())

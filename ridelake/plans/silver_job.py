@@ -15,11 +15,11 @@ from ..sources import writers as WR
 def conformed_bronze(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """All types, all months: one scan per type folder, conformed and unioned."""
     raws = {t: BR.read_bronze(spark, p, t) for t, p in folders.items()}
-    return CF.conform_all(raws, keep=("file_anio", "file_mes"))
+    return CF.conform_all(raws, keep=BR.FILE_COLUMNS)
 
 
 def run(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_path: str, run_id: str) -> DataFrame:
-    """Write silver (dynamic partition overwrite) and the audit of this run (its own partition).
+    """Replace every month that the run reads in silver, and write the audit of this run (its own partition).
 
     The write is the only pass over the data. The audit is computed from row
     counts afterwards: rows in per bronze file month and rows out per written
@@ -28,8 +28,10 @@ def run(spark: SparkSession, folders: dict[str, str], silver_path: str, audit_pa
     which at 100 TB would cost more than the data pass itself).
     """
     bronze = conformed_bronze(spark, folders)
-    WR.write_silver(SV.clean(bronze), silver_path)
-    written = WR.read_silver(spark, silver_path).select(*SILVER_PARTITIONS)
-    audit = SV.audit_from_counts(bronze, written)
+    keys = list(SILVER_PARTITIONS)
+    months = bronze.select("tipo_vehiculo", F.col("file_anio").alias("anio"), F.col("file_mes").alias("mes")).distinct()
+    written = WR.replace_silver(SV.clean(bronze), silver_path, months)
+    rows_out = WR.read_silver(spark, silver_path).select(*keys).join(written, keys, "left_semi")
+    audit = SV.audit_from_counts(bronze, rows_out)
     WR.write_audit(audit, audit_path, run_id)
     return WR.read_audit(spark, audit_path).where(F.col("run_id") == run_id)

@@ -120,12 +120,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root for one job's output."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can inspect a local path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

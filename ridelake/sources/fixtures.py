@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import CONFORMED_COLUMNS
 
-# Fixed mapping of event types to vehicle types (FIXTURES.md §3).
+# Fixed mapping of event types to vehicle types; any other event goes by its id (FIXTURES.md §3).
 EVENT_TO_TYPE = (("click", "yellow"), ("view", "green"), ("signup", "fhv"), ("purchase", "fhvhv"))
 
 
@@ -25,17 +25,19 @@ def _vehicle_type(ev: Column) -> Column:
     expr = None
     for e, t in EVENT_TO_TYPE:
         expr = F.when(ev == e, t) if expr is None else expr.when(ev == e, t)
-    return expr
+    for i, (_, t) in enumerate(EVENT_TO_TYPE[:-1]):
+        expr = expr.when(F.pmod(F.col("event_id"), F.lit(4)) == i, t)
+    return expr.otherwise(EVENT_TO_TYPE[-1][1])
 
 
 def trips_bronze(spark: SparkSession, sf_dir: str, multi: bool = False) -> DataFrame:
-    """Unified-schema bronze trips plus ``trip_id``, ``file_anio``, ``file_mes``.
+    """Unified-schema bronze trips plus ``trip_id``, ``file_ym``, ``file_anio``, ``file_mes``.
 
     ``multi=False``: all pickups in 2024-01 (§3); every 50th event claims file
     month 2 (corrupt-month rows). ``multi=True``: pickups spread over 36
     months by ``event_id % 36`` × 30 days (§3.1).
     """
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") != "error")
+    ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     tipo = _vehicle_type(F.col("event_type"))
     if multi:
@@ -64,6 +66,7 @@ def trips_bronze(spark: SparkSession, sf_dir: str, multi: bool = False) -> DataF
     return df.select(
         "trip_id",
         "tipo_vehiculo",
+        (file_anio * 100 + file_mes).cast("int").alias("file_ym"),
         file_anio.cast("int").alias("file_anio"),
         file_mes.cast("int").alias("file_mes"),
         "pickup_datetime",
@@ -126,10 +129,19 @@ RAW_TYPES = {
 }
 
 
-def raw_frame(bronze: DataFrame, tipo: str, extra: tuple[str, ...] = ("trip_id", "file_anio", "file_mes")) -> DataFrame:
+# Physical types that monthly files of a layout have had: one variant per month, in turn.
+DRIFT_TYPES = (
+    {"pu_location_id": "int", "do_location_id": "int", "passenger_count": "double", "payment_type": "long"},
+    {"pu_location_id": "long", "do_location_id": "long", "passenger_count": "long", "payment_type": "double"},
+    {"pu_location_id": "double", "do_location_id": "long", "passenger_count": "double", "payment_type": "int"},
+)
+
+
+def raw_frame(bronze: DataFrame, tipo: str, extra: tuple[str, ...] = ("trip_id", "file_anio", "file_mes"),
+              types: dict[str, str] | None = None) -> DataFrame:
     """One type's rows in that type's raw layout (names and physical types)."""
     names = RAW_NAMES[tipo]
-    types = RAW_TYPES[tipo]
+    types = RAW_TYPES[tipo] if types is None else types
     cols = [F.col(c) for c in extra]
     for unified in CONFORMED_COLUMNS:
         raw = names.get(unified)
@@ -183,3 +195,7 @@ def zone_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(F.col("o_orderpriority").alias("tipo_vehiculo"), F.col("o_orderdate").alias("pickup_datetime"),
                     F.col("c_nationkey").cast("long").alias("pu_location_id"),
                     F.col("s_nationkey").cast("long").alias("do_location_id"))
+
+
+# Fixed for the order series: the days of one series, and of no other, that are left out of its training.
+SERIES_EXCLUDED = {"1-URGENT": ("1998-09-22", "1998-09-23", "1998-09-24")}

@@ -17,7 +17,7 @@ from ..contracts import SILVER_PARTITIONS, VEHICLE_TYPES
 from ..operators import conform as CF
 from ..operators import silver as SV
 from ..sources import writers as WR
-from ..sources.bronze import file_month_columns, raw_schema
+from ..sources.bronze import FILE_COLUMNS, read_bronze
 
 
 # Upper bound on the bronze bytes one type's file stream takes into a micro-batch.
@@ -27,25 +27,28 @@ from ..sources.bronze import file_month_columns, raw_schema
 DEFAULT_BATCH_BYTES = 256 * 1024 ** 3
 
 
-def bronze_stream(spark: SparkSession, folders: dict[str, str], max_files_per_trigger: int | None = None,
-                  max_bytes_per_trigger: int = DEFAULT_BATCH_BYTES) -> DataFrame:
-    """Union of one file stream per type, conformed, with the file's year/month.
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-    Each stream's micro-batches are bounded by ``max_files_per_trigger`` when
-    given, else by ``max_bytes_per_trigger`` (Spark takes one or the other).
+
+def arrivals(spark: SparkSession, folders: dict[str, str], max_files_per_trigger: int | None = None,
+             max_bytes_per_trigger: int = DEFAULT_BATCH_BYTES) -> DataFrame:
+    """Stream of the bronze files that arrive (``tipo_vehiculo``, ``path``), one file stream per type.
+
+    Only the listing is streamed; each batch then reads its files with the batch
+    reader, which takes months of differing physical types. Micro-batches are bounded by
+    ``max_files_per_trigger`` when given, else by ``max_bytes_per_trigger`` (Spark takes one or the other).
     """
     parts = []
     for tipo in VEHICLE_TYPES:
         if tipo not in folders:
             continue
-        r = spark.readStream.schema(raw_schema(tipo)).option("recursiveFileLookup", "true")
+        r = (spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet"))
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         else:
             r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
-        raw = r.parquet(folders[tipo])
-        raw = raw.withColumns(file_month_columns(F.col("_metadata.file_path")))
-        parts.append(CF.conform(raw, tipo, keep=("file_anio", "file_mes")))
+        parts.append(r.load(folders[tipo]).select(F.lit(tipo).alias("tipo_vehiculo"), "path"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -53,7 +56,14 @@ STREAM_PARTITIONS = (*SILVER_PARTITIONS, "lote")
 
 
 def _write_batch(silver_path: str, audit_path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(arrived: DataFrame, batch_id: int) -> None:
+        files: dict[str, list[str]] = {}
+        for r in arrived.collect():  # file names of one bounded batch
+            files.setdefault(r["tipo_vehiculo"], []).append(r["path"])
+        if not files:
+            return
+        spark = arrived.sparkSession
+        batch = CF.conform_all({t: read_bronze(spark, f, t) for t, f in files.items()}, keep=FILE_COLUMNS)
         # Partitioned by type/year/month and batch (``lote``) with dynamic overwrite: a replayed
         # batch replaces exactly its own files, and parts of one month that arrive in different
         # batches (a month split over several files) are kept side by side.
@@ -61,7 +71,7 @@ def _write_batch(silver_path: str, audit_path: str):
            .option("partitionOverwriteMode", "dynamic").partitionBy(*STREAM_PARTITIONS).parquet(silver_path))
         # The batch is not persisted: the write is its only data pass, and the audit
         # counts rows from the batch files' footers and the partitions this batch wrote.
-        written = (WR.read_silver(batch.sparkSession, silver_path, (("lote", "long"),))
+        written = (WR.read_silver(spark, silver_path, (("lote", "long"),))
                      .where(F.col("lote") == batch_id).select(*SILVER_PARTITIONS))
         # Audit rows keyed by batch id: a replayed batch overwrites its own rows instead of adding.
         (SV.audit_from_counts(batch, written).withColumn("batch_id", F.lit(batch_id))
@@ -75,7 +85,7 @@ def run_incremental(spark: SparkSession, folders: dict[str, str], silver_path: s
                     checkpoint: str, max_files_per_trigger: int | None = None,
                     max_bytes_per_trigger: int = DEFAULT_BATCH_BYTES) -> None:
     """Process every bronze file not yet seen in bounded batches, then stop (``availableNow``)."""
-    q = (bronze_stream(spark, folders, max_files_per_trigger, max_bytes_per_trigger).writeStream
+    q = (arrivals(spark, folders, max_files_per_trigger, max_bytes_per_trigger).writeStream
          .foreachBatch(_write_batch(silver_path, audit_path))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

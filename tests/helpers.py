@@ -24,5 +24,6 @@ def frame(spark, rows):
     fields = ", ".join(f"{n} {t.simpleString()}" for n, t in CONFORMED_FIELDS)
     schema = f"trip_id long, file_anio int, file_mes int, {fields}"
     df = spark.createDataFrame([{k: r[k] for k in r} for r in rows], schema)
+    df = df.withColumn("file_ym", F.col("file_anio") * 100 + F.col("file_mes"))
     return df.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz")) \
              .withColumn("dropoff_datetime", F.col("dropoff_datetime").cast("timestamp_ntz"))

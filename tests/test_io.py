@@ -1,7 +1,6 @@
 """Sources and sinks: schema drift, glob scans, dynamic overwrite, CSV, manifest."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ridelake.operators import manifest as MF
 from ridelake.session import scratch_path
@@ -10,22 +9,105 @@ from ridelake.sources import writers as WR
 from ridelake.sources import zones as ZN
 
 
-def test_schema_drift_groups(spark):
+def test_months_of_different_types_are_read_together(spark):
     root = scratch_path(spark, "drift")
     base = spark.range(3).select(F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("pickup_datetime"),
                                  F.lit("2024-01-01 10:20:00").cast("timestamp_ntz").alias("dropOff_datetime"))
     for month, typ in ((1, "int"), (2, "long"), (3, "double")):
         base.select("*", F.lit(7).cast(typ).alias("PUlocationID"), F.lit(8).cast(typ).alias("DOlocationID")) \
             .write.parquet(f"{root}/fhv_tripdata_2024-{month:02d}.parquet")
-    groups = []
-    for month, typ in ((1, T.IntegerType()), (2, T.LongType()), (3, T.DoubleType())):
-        s = T.StructType([T.StructField("pickup_datetime", T.TimestampNTZType()),
-                          T.StructField("dropOff_datetime", T.TimestampNTZType()),
-                          T.StructField("PUlocationID", typ), T.StructField("DOlocationID", typ)])
-        groups.append(([f"{root}/fhv_tripdata_2024-{month:02d}.parquet"], s))
-    df = BR.read_bronze_groups(spark, groups, "fhv")
-    got = sorted((r.file_mes, r.PUlocationID) for r in df.collect())
-    assert got == [(1, 7.0)] * 3 + [(2, 7.0)] * 3 + [(3, 7.0)] * 3
+    df = BR.read_bronze(spark, root, "fhv")
+    assert dict(df.dtypes)["PUlocationID"] == "bigint"
+    got = sorted((r.file_ym, r.file_mes, r.PUlocationID) for r in df.collect())
+    assert got == [(202400 + m, m, 7) for m in (1, 2, 3) for _ in range(3)]
+    assert len(BR.schema_groups(spark, [root])) == 3
+    one = BR.read_bronze(spark, f"{root}/fhv_tripdata_2024-0[12].parquet", "fhv")  # a glob
+    assert sorted({r.file_mes for r in one.collect()}) == [1, 2]
+
+
+def test_no_files_read_as_no_rows(spark):
+    path = scratch_path(spark, "nothing")
+    spark.createDataFrame([], "a int").write.parquet(path)
+    assert BR.read_bronze(spark, path + "/none-yet", "green").count() == 0
+
+
+def _silver(spark, root):
+    return WR.read_silver(spark, f"{root}/silver")
+
+
+def test_silver_job_over_drifting_files_equals_the_uniform_ones(spark):
+    from conftest import SF_SMALL
+    from ridelake.operators import silver
+    from ridelake.plans import silver_job
+    from ridelake.sources import fixtures as FX
+    root = scratch_path(spark, "drift-job")
+    b = FX.trips_bronze(spark, SF_SMALL, multi=True).where("file_anio = 2025")
+    silver_job.run(spark, BR.write_drifting_fixture(b, f"{root}/bronze"), f"{root}/silver", f"{root}/audit", "r1")
+    got, want = _silver(spark, root), silver.clean(b)
+    cols = want.columns
+    assert got.count() == want.count() > 0 and got.select(cols).exceptAll(want).count() == 0
+
+
+def test_rerun_empties_a_month_without_survivors(spark):
+    """A corrected month of which no row survives leaves nothing of the first run, in silver and in the audit."""
+    from conftest import SF_SMALL
+    from ridelake.plans import silver_job
+    from ridelake.sources import fixtures as FX
+    root = scratch_path(spark, "rerun")
+    b = FX.trips_bronze(spark, SF_SMALL).where("tipo_vehiculo = 'yellow'")
+    run = lambda frame, name: silver_job.run(
+        spark, {"yellow": BR.write_bronze_fixture(frame, f"{root}/{name}")["yellow"]}, f"{root}/silver", f"{root}/audit", name)
+    first = {r.mes: (r.filas_entrada, r.filas_salida) for r in run(b, "r1").collect()}
+    assert first[1][1] == _silver(spark, root).count() > 0
+    second = {r.mes: (r.filas_entrada, r.filas_salida) for r in run(b.withColumn("fare_amount", F.lit(1000.0)), "r2").collect()}
+    assert second == {m: (n, 0) for m, (n, _) in first.items()}
+    assert _silver(spark, root).count() == 0
+    run(b, "r3")
+    assert _silver(spark, root).count() == first[1][1]
+
+
+def test_rerun_leaves_months_it_did_not_read(spark):
+    from conftest import SF_SMALL
+    from ridelake.plans import silver_job
+    from ridelake.sources import fixtures as FX
+    root = scratch_path(spark, "rerun-part")
+    b = FX.trips_bronze(spark, SF_SMALL, multi=True).where("tipo_vehiculo = 'fhv' AND file_anio = 2024")
+    early, late = b.where("file_mes <= 6"), b.where("file_mes > 6")
+    for name, frame in (("a", early), ("b", late)):
+        audit = silver_job.run(spark, {"fhv": BR.write_bronze_fixture(frame, f"{root}/{name}")["fhv"]}, f"{root}/silver", f"{root}/audit", name)
+        assert audit.agg(F.sum("filas_entrada")).first()[0] == frame.count()
+    from ridelake.operators import silver
+    assert _silver(spark, root).count() == silver.clean(b).count()
+
+
+def test_csv_log_is_idempotent_and_ordered_by_time(spark):
+    from ridelake.operators import quality as QL
+    from ridelake.sources import audit_log as AL
+    path = scratch_path(spark, "audit-csv")
+    row = "tipo_vehiculo string, anio int, mes int, filas_entrada long, filas_salida long, pct_retenido double"
+    for run, out in (("r9", 5), ("r10", 7), ("r10", 8)):  # r10 is retried
+        AL.write_audit_csv(spark.createDataFrame([("yellow", 2024, 1, 10, out, out * 10.0)], row), path, run)
+    log = AL.read_audit_csv(spark, path)
+    assert log.count() == 2
+    assert [(r.run_id, r.filas_salida) for r in QL.audit_latest(log).collect()] == [("r10", 8)]
+
+
+def test_whole_table_write_drops_what_is_gone(spark):
+    root = scratch_path(spark, "whole")
+    WR.write_partitioned(spark.createDataFrame([(1, 2024), (2, 2025)], "v int, anio int"), root, ("anio",), whole=True)
+    WR.write_partitioned(spark.createDataFrame([(3, 2025)], "v int, anio int"), root, ("anio",), whole=True)
+    assert [(r.anio, r.v) for r in spark.read.parquet(root).collect()] == [(2025, 3)]
+
+
+def test_ingest_listing_and_summary(spark):
+    root = scratch_path(spark, "listing")
+    for m in (1, 2):
+        spark.range(m).write.parquet(f"{root}/green/green_tripdata_2025-{m:02d}.parquet")
+    found = MF.existing_files(spark, [root])
+    assert sorted((r.tipo_vehiculo, r.anio, r.mes) for r in found.collect()) == [("green", 2025, 1), ("green", 2025, 2)]
+    results = spark.createDataFrame([("ok", 1.5), ("ok", 2.0), ("timeout", None)], "estado string, mb double")
+    got = {r.estado: (r.archivos, r.total_mb) for r in MF.ingest_summary(results).collect()}
+    assert got == {"ok": (2, 3.5), "skip": (0, 0.0), "not_found": (0, 0.0), "timeout": (1, 0.0), "error": (0, 0.0)}
 
 
 def test_glob_scan_with_base_path(spark):

@@ -46,3 +46,44 @@ def test_cluster_job_writes_complete_dimension(spark):
     assert dim.count() == FE.cluster_input(feats).count()
     assert dim.select("location_id").distinct().count() == dim.count()
     assert {r.cluster for r in dim.select("cluster").distinct().collect()} == {0, 1, 2, 3}
+
+
+def _series(spark, rows):
+    import datetime as dt
+    return spark.createDataFrame([(t, dt.date(2022, 1, 1) + dt.timedelta(days=d), n) for t, d, n in rows],
+                                 "tipo_vehiculo string, fecha date, total_viajes long")
+
+
+def test_series_without_training_rows_stay(spark):
+    s = _series(spark, [("long", d, 100 + d % 7) for d in range(400)] + [("short", d, 5) for d in range(60)])
+    split = FE.split_train_test(s)
+    fitted = FC.fit_predict(split.withColumn("_train", F.col("conjunto") == "train"), horizon=0, train_col="_train")
+    short = fitted.where("tipo_vehiculo = 'short'")
+    assert short.count() == 60 and short.where("prediccion IS NULL AND estado = 'sin_entrenamiento'").count() == 60
+    assert fitted.where("tipo_vehiculo = 'long' AND estado = 'ok' AND prediccion IS NOT NULL").count() == 400
+    got = {(r.tipo_vehiculo, r.modelo): r for r in FC.compare_models(split).collect()}
+    assert len(got) == 4 and got["short", "con_feriados"].n == 60 and got["short", "con_feriados"].mae is None
+    assert got["long", "sin_feriados"].mae < 1.0
+
+
+def test_days_are_excluded_for_their_series_only(spark):
+    s = _series(spark, [(t, d, 10) for t in ("yellow", "green") for d in range(700)])
+    left = FE.exclude_days(s, FE.excluded_days(spark))
+    assert {r.tipo_vehiculo: r["count"] for r in left.groupBy("tipo_vehiculo").count().collect()} == {"yellow": 697, "green": 700}
+
+
+def test_composite_series_key(spark):
+    s = _series(spark, [("a", d, 50 + d % 7) for d in range(120)]).crossJoin(
+        spark.range(2).withColumnRenamed("id", "zona")).withColumn("total_viajes", F.col("total_viajes") * (F.col("zona") + 1))
+    fc = FC.demand_forecast(s, ["tipo_vehiculo", "zona"], horizon=7)
+    assert dict(fc.dtypes)["zona"] == "bigint" and fc.count() == 2 * 127
+    by = {r.zona: r.m for r in fc.where("es_prediccion").groupBy("zona").agg(F.avg("prediccion").alias("m")).collect()}
+    assert abs(by[1] / by[0] - 2) < 0.01
+
+
+def test_sample_share_is_a_parameter(spark):
+    from ridelake.queries import silver_df
+    s = silver_df(spark, SF_SMALL)
+    every = FE.airport_features(s, one_in=1).count()
+    assert every == s.dropna(subset=["do_location_id", "trip_distance", "duracion_min", "fare_amount"]).count() > 0
+    assert FE.airport_features(s, one_in=3).count() < every

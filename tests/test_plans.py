@@ -114,3 +114,14 @@ def test_stored_layer_audit_reads_no_data_columns(spark):
     p = plan(REGISTRY["layer_audit_stored"][0](spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: (\S+)", p)
     assert schemas and all(s == "struct<>" for s in schemas)
+
+
+def test_file_path_is_cut_once_per_row(spark):
+    """The month rule reads the path once, without a regular expression; the derived columns don't read it again."""
+    from ridelake.operators import silver
+    from ridelake.plans import silver_job
+    from ridelake.queries import bronze_files
+    files = bronze_files(spark, SF_SMALL, False)
+    p = silver.clean(silver_job.conformed_bronze(spark, {"green": files["green"]}), "green")
+    text = p._jdf.queryExecution().executedPlan().toString()
+    assert text.count("substring_index") == 1 and "regexp" not in text

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import trip, frame
 
 from ridelake.operators import silver
@@ -77,3 +78,12 @@ def test_duration_is_wall_clock_across_dst(spark):
     assert dict(df.dtypes)["pickup_datetime"] == "timestamp_ntz"
     out = silver.clean(df).first()
     assert out.duracion_min == 120.0 and out.hora == 1
+
+
+def test_wrong_and_missing_file_months(spark):
+    """A row goes where its file's month is another one, is missing, or its pickup is."""
+    rows = [trip(trip_id=1), trip(trip_id=2, file_mes=2), trip(trip_id=3, file_anio=2023), trip(trip_id=4)]
+    df = frame(spark, rows)
+    df = df.withColumn("file_ym", F.when(F.col("trip_id") != 4, F.col("file_ym")))
+    df = df.unionByName(df.where("trip_id = 1").withColumns({"trip_id": F.lit(5).cast("long"), "pickup_datetime": F.lit(None).cast("timestamp_ntz")}))
+    assert [r.trip_id for r in silver.clean(df, keep=("trip_id",)).collect()] == [1]

@@ -66,3 +66,13 @@ def test_byte_bounded_batches_equal_batch_result(spark):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
     tot = audit.agg(F.sum("filas_entrada"), F.sum("filas_salida")).first()
     assert tot[0] == b.count() and tot[1] == want.count()
+
+
+def test_drifting_files_stream(spark):
+    """Months whose physical types differ arrive in one stream."""
+    root = scratch_path(spark, "stream-drift")
+    b = FX.trips_bronze(spark, SF_SMALL, multi=True).where("file_anio = 2024 AND tipo_vehiculo IN ('yellow', 'green')")
+    folders = {t: p for t, p in BR.write_drifting_fixture(b, f"{root}/bronze").items() if t in ("yellow", "green")}
+    INC.run_incremental(spark, folders, f"{root}/silver", f"{root}/audit", f"{root}/_ckpt")
+    got, want = spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS), silver.clean(b)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
