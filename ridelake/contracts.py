@@ -86,3 +86,24 @@ CONFORMED_COLUMNS = tuple(n for n, _ in CONFORMED_FIELDS)
 SILVER_COLUMNS = CONFORMED_COLUMNS + tuple(n for n, _ in DERIVED_FIELDS)
 SILVER_SCHEMA = T.StructType([T.StructField(n, t) for n, t in CONFORMED_FIELDS + DERIVED_FIELDS])
 SILVER_PARTITIONS = ("tipo_vehiculo", "anio", "mes")
+
+# Gold tables: their columns in order. A pair is a grouping key and its type; a triple is a measure:
+# name, how it is taken ("trips", "mean" or "total", "share" of trips) and of which metric of a trip.
+METRICS = {"fare": "fare_amount", "tip": "tip_amount", "total": "total_amount", "dist": "trip_distance",
+           "dur": "duracion_min", "pass": "passenger_count"}
+_TYPE, _YEAR, _MONTH, _HOUR = ("tipo_vehiculo", "string"), ("anio", "int"), ("mes", "int"), ("hora", "int")
+_TRIPS, _FARE = ("total_viajes", "trips", None), ("fare_promedio", "mean", "fare")
+_DISTANCE, _DURATION = ("distancia_promedio", "mean", "dist"), ("duracion_promedio", "mean", "dur")
+_TIP, _INCOME = ("tip_promedio", "mean", "tip"), ("ingreso_total", "total", "fare")
+_DURATION_MIN = ("duracion_promedio_min", "mean", "dur")
+GOLD_TABLES = {
+    "viajes_por_hora": (_YEAR, _MONTH, ("dia", "int"), _HOUR, _TRIPS, _DURATION_MIN, _FARE, _TYPE),
+    "tendencia_mensual": (_YEAR, _MONTH, _TRIPS, _FARE, _INCOME, _DISTANCE, _DURATION_MIN, _TYPE),
+    "tarifas_por_zona": (("location_id", "int"), _YEAR, _MONTH, _TRIPS, _FARE, _TIP,
+                         ("total_promedio", "mean", "total"), _DURATION, _TYPE),
+    "comparacion_vehiculos": (_TYPE, _YEAR, _MONTH, _TRIPS, _FARE, _TIP, _DISTANCE, _DURATION,
+                              ("pasajeros_promedio", "mean", "pass"), _INCOME),
+    "duracion_distancia": (_TYPE, _YEAR, _MONTH, _HOUR, _DISTANCE, _DURATION, _FARE, _TRIPS),
+    "features_clustering": (("location_id", "bigint"), _TRIPS, _FARE, _DISTANCE, _DURATION,
+                            ("hora_promedio_salida", "mean", "hora"), ("pct_hora_pico", "share", "peak")),
+}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -108,7 +109,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        if sc is None:
+            raise RuntimeError("with Spark Connect spark.checkpoint.dir must name a folder that the server shares")
         root = tempfile.mkdtemp(prefix="ridelake-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)  # this process's own folder, gone with it
     if sc is None:
         return root
     sc.setCheckpointDir(root)
