@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, lm_score, near_dup, repeats, secret_scan, warc
+from . import bpe, chat, decontaminate, fingerprints, language, lm_score, near_dup, oracles, repeats, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,7 +55,7 @@ def q_bpe(spark, sf_dir):
                                 public_tokenizers.PATTERN)
 
 
-@register("op6_chat_round_trip")
+@register("op6_chat_round_trip", oracles.CHAT)
 def q_chat(spark, sf_dir):
     """All conversations and one that imitates the template's control strings."""
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,13 +64,13 @@ def q_chat(spark, sf_dir):
     return chat.digests(chat.format_conversations(said.unionByName(forged)))
 
 
-@register("op8_suffix_automaton")
+@register("op8_suffix_automaton", oracles.CONTAMINATION)
 def q_decontaminate(spark, sf_dir):
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@register("op7_arc_to_warc")
+@register("op7_arc_to_warc", oracles.ARCHIVE)
 def q_warc(spark, sf_dir):
     """Every page through a legacy archive and its WARC form."""
     back = warc.archive_pages(table(spark, sf_dir, "pages"))
@@ -89,7 +89,7 @@ def q_near_duplicates(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@register("op10_front_coded_merge")
+@register("op10_front_coded_merge", oracles.REPEATS)
 def q_repeats(spark, sf_dir):
     """What is left of every document without the 50-byte strings that smaller ids hold."""
     left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
