@@ -23,6 +23,8 @@ HEADLINE = [
     "zone_features", "airport_features", "daily_series", "train_test_split_time", "zone_report",
     "dim_calendar", "dim_holidays", "ingest_summary", "forecast_metrics", "demand_forecast",
     "model_comparison", "silver_roundtrip", "scan_trips",
+    "kmeans_elbow", "zone_clusters", "cluster_profile", "incremental_silver", "gold_job_hourly", "silver_job_audit",
+    "forecast_export", "scan_drift",
 ]
 
 
