@@ -13,16 +13,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below the shared checkpoint folder and read back.
 
     Cuts the lineage with files every executor can read, and leaves the
     reader with measured sizes and no inherited partitioning, so that a later
-    join may broadcast a small side or split a skewed one.
+    join may broadcast a small side or split a skewed one. The shuffle files
+    of the write go when it has ended, not when the driver next collects garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    kept = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, kept)
     return spark.read.schema(df.schema).parquet(path)
 
 

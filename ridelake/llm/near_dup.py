@@ -9,8 +9,9 @@ far as an edit script leaves both content and order alone. Each of the
 Texts with the same words are one node. In every bucket the members are
 verified against one of them, the one met in most buckets. Components are
 formed; in a bucket that still holds several, the members outside its largest one
-are verified against all of the others. So a bucket of one component costs a
-pair per member, and no link between components is left out.
+are verified against those others whose one-bit minimum hashes (``BITS`` of
+them) leave a similarity of the threshold possible. So a bucket of one component costs a
+pair per member, and links between components are still found.
 
 Verification aligns the labelled shingles of two texts in order, within the
 band that the threshold allows: aligned / (all of both - aligned) >= SIMILARITY.
@@ -31,6 +32,8 @@ from .decontaminate import _cut_at_texts, words_of
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, LENGTH = 14, 3   # texts of similarity 0.8 share no bucket once in 20,000 pairs
+BITS = 2048                # one-bit minimum hashes of the second comparison
+BIT_DEVIATIONS = 3.9       # a pair of the threshold similarity differs in more bits once in 20,000 pairs
 _CHUNK = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,6 +85,30 @@ def order_sketches(shingles: np.ndarray) -> list[int]:
     return out.view(np.int64).tolist()
 
 
+_BIT_SEEDS = np.random.default_rng(12).integers(0, 1 << 32, (2, BITS), dtype=np.uint32)
+
+
+def bit_signature(shingles: np.ndarray) -> list[int]:
+    """One bit of the minimum under each of ``BITS`` hashes, in signed 64-bit words; equal bits estimate (1 + Jaccard) / 2."""
+    n = len(shingles)
+    if not n:
+        return [0] * (BITS // 64)
+    h = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.zeros(BITS, np.uint32)
+    step = max(1, min(BITS, 250_000 // n))
+    for low in range(0, BITS, step):
+        x, m = _BIT_SEEDS[0, low:low + step, None], _BIT_SEEDS[1, low:low + step, None] | np.uint32(1)
+        least[low:low + step] = ((h[None, :] ^ x) * m).min(axis=1)
+    bits = _mix(least.astype(np.uint64) * _MIX) >> np.uint64(40) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
+
+
+def most_differing_bits(threshold: float) -> int:
+    """Bits in which two texts of the threshold similarity differ at most, but for once in 20,000 pairs."""
+    mean = BITS * (1 - threshold) / 2
+    return int(mean + BIT_DEVIATIONS * (mean * (1 + threshold) / 2) ** 0.5)
+
+
 def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> float:
     """Share of labelled shingles aligned in order within the band of ``threshold``; 0 where it can't be reached.
 
@@ -143,22 +170,25 @@ def sketched(rows: DataFrame) -> DataFrame:
 
 
 def _words_of_nodes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and its 32-bit word hashes (packed) for the wanted (``_key``, ``node``) rows, once per node."""
+    """``node``, its 32-bit word hashes (packed) and bit signature for the wanted (``_key``, ``node``) rows."""
     import pyarrow as pa
 
     def work(batches):
         for batch in batches:
-            nodes, packed = [], []
+            nodes, packed, bits = [], [], []
             want = batch.column("node").to_pylist()
             for node, (words, text) in zip(want, _each_text(batch)):
                 if _node(words, text) == node:  # else: another text under the same key
                     nodes.append(node)
-                    packed.append((words >> np.uint64(32)).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(packed, pa.binary())], ["node", "words"])
+                    short = (words >> np.uint64(32)).astype(np.uint32)
+                    packed.append(short.tobytes())
+                    bits.append(bit_signature(labelled_shingles(short)))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(packed, pa.binary()),
+                                              pa.array(bits, pa.list_(pa.int64()))], ["node", "words", "bits"])
 
     wanted = wanted.select(F.col("_key").alias("_k"), "node")
     found = rows.join(wanted, rows["_key"].eqNullSafe(wanted["_k"])).select("node", "_text").mapInArrow(
-        work, "node string, words binary")
+        work, "node string, words binary, bits array<long>")
     return found
 
 
@@ -227,8 +257,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # nodes: one per word sequence; buckets: only those met twice
     ident = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").cast(kind).alias("id"))
     nodes = sketches.groupBy("node", "n").agg(F.min(ident).alias("_first"), F.first("bands").alias("bands"))
-    bands = nodes.select("node", "n", F.col("_first.id").cast("string").alias("_key"), F.posexplode("bands").alias("i", "h")).select(
-        "node", "n", "_key", F.xxhash64("i", "h").alias("band"))
+    bands = nodes.select("node", "n", F.col("_first.id").cast("string").alias("_key"), "bands", F.posexplode("bands").alias("i", "h")).select(
+        "node", "n", "_key", "bands", "i", F.xxhash64("i", "h").alias("band"))
     bands = staged(bands, "bands")
     shared = staged(bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").select(F.col("band").alias("_band"), "size"), "shared")
     members = staged(bands.join(shared, F.col("band") == F.col("_band")).drop("_band"), "members")
@@ -243,20 +273,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .select("a", F.col("node").alias("b")).distinct(), "star-pairs")
     wanted = staged(members.select("_key", "node").distinct(), "wanted")
     words = staged(_words_of_nodes(rows, wanted), "node-words")
-    words = staged(words.groupBy("node").agg(F.first("words").alias("words")), "node-words-once")
+    words = staged(words.groupBy("node").agg(F.first("words").alias("words"), F.first("bits").alias("bits")), "node-words-once")
     linked = staged(verified(star, words, threshold), "links")
     roots = staged(components(linked), "roots")
 
     # buckets of several components: whoever is outside the largest one meets the others
     placed = staged(members.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left")
-                    .select("band", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
+                    .select("band", "i", "bands", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
     parts = placed.groupBy("band", "root").agg(F.count("*").alias("k"))
     split = staged(parts.groupBy("band").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("parts"))
                    .filter("parts > 1").select(F.col("band").alias("_band"), F.col("top.root").alias("top")), "split-buckets")
-    mixed = staged(placed.join(split, F.col("band") == F.col("_band")).select("band", "node", "n", "root", "top"), "mixed")
+    bits = words.select(F.col("node").alias("_bit_node"), "bits")
+    mixed = staged(placed.join(split, F.col("band") == F.col("_band")).join(bits, F.col("node") == F.col("_bit_node"))
+                   .select("band", "i", "bands", "node", "n", "root", "top", "bits"), "mixed")
     outside = mixed.filter("root <> top").select(F.col("band").alias("_band"), F.col("node").alias("a"), F.col("n").alias("na"),
-                                                 F.col("root").alias("ra"))
-    more = (mixed.join(outside, (F.col("band") == F.col("_band")) & (F.col("root") != F.col("ra")) & fits)
+                                                 F.col("root").alias("ra"), F.col("bits").alias("abits"), F.col("bands").alias("abands"))
+    differing = sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("abits")[i])) for i in range(BITS // 64))
+    # each pair once: in the first bucket that both share, and from the smaller of two that are outside
+    shared_first = F.coalesce(*[F.when(F.col("bands")[i] == F.col("abands")[i], F.lit(i)) for i in range(SKETCHES)])
+    once = (shared_first == F.col("i")) & ((F.col("root") == F.col("top")) | (F.col("a") < F.col("node")))
+    more = (mixed.join(outside, (F.col("band") == F.col("_band")) & (F.col("root") != F.col("ra")) & fits & once
+                       & (differing <= most_differing_bits(threshold)))
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
     known = star.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"))
     more = staged(more.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "more-pairs")

@@ -129,6 +129,18 @@ def test_alignment(a, new, at):
     assert have == want if want >= 0.8 else have < 0.8
 
 
+def test_bits_follow_similarity():
+    rng = np.random.default_rng(5)
+    for share in (0.8, 0.6, 0.4):
+        n = 400
+        both = round(2 * n * share / (1 + share))
+        x = rng.integers(1, 1 << 63, 2 * n, dtype=np.uint64)
+        a, b = N.bit_signature(x[:n]), N.bit_signature(np.concatenate([x[n - both:n], x[n:2 * n - both]]))
+        differ = sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(a, b))
+        assert abs(differ - N.BITS * (1 - share) / 2) < 60
+        assert (differ <= N.most_differing_bits(0.8)) == (share == 0.8)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(60)] + [("x", "y"), ("y", "z"), ("x", "z")]
     have = {r["node"]: r["root"] for r in N.components(spark.createDataFrame(edges, "a string, b string")).collect()}
