@@ -169,27 +169,26 @@ def sketched(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "_key string, node string, n long, bands array<long>")
 
 
-def _words_of_nodes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node``, its 32-bit word hashes (packed) and bit signature for the wanted (``_key``, ``node``) rows."""
+def _words_of_nodes(rows: DataFrame, wanted: DataFrame, kind: str) -> DataFrame:
+    """``node``, its 32-bit word hashes (packed) and bit signature for the rows with the wanted ids.
+
+    Rows that share an id with a wanted one come too; their nodes are in no pair unless wanted themselves.
+    """
     import pyarrow as pa
 
     def work(batches):
         for batch in batches:
             nodes, packed, bits = [], [], []
-            want = batch.column("node").to_pylist()
-            for node, (words, text) in zip(want, _each_text(batch)):
-                if _node(words, text) == node:  # else: another text under the same key
-                    nodes.append(node)
-                    short = (words >> np.uint64(32)).astype(np.uint32)
-                    packed.append(short.tobytes())
-                    bits.append(bit_signature(labelled_shingles(short)))
+            for words, text in _each_text(batch):
+                short = (words >> np.uint64(32)).astype(np.uint32)
+                nodes.append(_node(words, text))
+                packed.append(short.tobytes())
+                bits.append(bit_signature(labelled_shingles(short)))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(packed, pa.binary()),
                                               pa.array(bits, pa.list_(pa.int64()))], ["node", "words", "bits"])
 
-    wanted = wanted.select(F.col("_key").alias("_k"), "node")
-    found = rows.join(wanted, rows["_key"].eqNullSafe(wanted["_k"])).select("node", "_text").mapInArrow(
-        work, "node string, words binary, bits array<long>")
-    return found
+    found = rows.join(wanted, F.col("_key").cast(kind).eqNullSafe(wanted["_wanted"]), "left_semi")
+    return found.select("_text").mapInArrow(work, "node string, words binary, bits array<long>")
 
 
 def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
@@ -271,8 +270,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fits = F.least("na", "n") >= threshold * F.greatest("na", "n")  # else the sizes rule it out
     star = staged(members.join(hubs, F.col("band") == F.col("_band")).filter((F.col("a") != F.col("node")) & fits)
                   .select("a", F.col("node").alias("b")).distinct(), "star-pairs")
-    wanted = staged(members.select("_key", "node").distinct(), "wanted")
-    words = staged(_words_of_nodes(rows, wanted), "node-words")
+    wanted = staged(members.select(F.col("_key").cast(kind).alias("_wanted")).distinct(), "wanted")  # ids only: least to send
+    words = staged(_words_of_nodes(rows, wanted, kind), "node-words")
     words = staged(words.groupBy("node").agg(F.first("words").alias("words"), F.first("bits").alias("bits")), "node-words-once")
     linked = staged(verified(star, words, threshold), "links")
     roots = staged(components(linked), "roots")
