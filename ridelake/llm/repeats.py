@@ -3,6 +3,8 @@
 Every ``WINDOW``-byte string that also starts in a document with a smaller id is
 to go. The suffixes that matter are found, sorted and compared as follows:
 
+* Copies. A document whose whole text a smaller id has goes as a whole, by
+  digest; the others are left to the following.
 * Anchors. Of the ``KMER``-byte strings inside a window the one with the
   smallest hash is its anchor, so equal windows have equal anchors, and a
   document has far fewer anchors than windows. Tasks exchange hash, id and place of each
@@ -33,15 +35,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, staged, utf8_column
+from .common import document_chunks, shuffle_partitions, staged, utf8_column
 
 WINDOW = 50
 KMER = 24
 HOT = 2000            # documents of an anchor beyond which its windows are exchanged one by one
-_CHUNK = 2 << 20      # bytes hashed at a time
+_PIECE = 64 << 10     # window starts hashed at a time: what a core's cache holds
 _RUN = 400_000        # segments sorted into one run
 BUCKETS_PER_TASK = 4
-_BLOCK = 48 << 20     # bytes of text whose anchors are sent as one set of arrays
+_BLOCK = 8 << 20      # bytes of whole texts taken at a time
+_ANCHORS = 3_000_000  # anchors sent as one set of arrays
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,54 +78,58 @@ def kmer_hashes(raw: np.ndarray) -> np.ndarray:
     return whole ^ (whole >> np.uint64(29))
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Place and hash of each anchor of a text, and the first and last start of its windows.
+def anchors(raw: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Text, place and hash of each anchor of texts that stand one after another in ``raw`` (offsets ``at``), and the
+    first and last start of its windows; places count from the text's start.
 
     Where several equal smallest hashes lie in a window, the first is its
-    anchor. Long texts go piece by piece: a stretch of windows may then be cut in two.
+    anchor. The bytes are hashed piece by piece, whatever the texts' lengths: a
+    stretch of windows may be cut in two between pieces.
     """
-    if len(raw) <= _CHUNK + WINDOW:
-        return _anchors(raw)
-    parts = []
-    for low in range(0, len(raw) - WINDOW + 1, _CHUNK):
-        place, h, first, last = _anchors(raw[low:low + _CHUNK + WINDOW - 1])
-        parts.append((place + low, h, first + low, last + low))
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    at = np.array([0, len(raw)]) if at is None else np.asarray(at)
+    parts = [_piece(raw[low:low + _PIECE + WINDOW - 1], low, at) for low in range(0, len(raw) - WINDOW + 1, _PIECE)]
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), none, none
+    text, place, h, first, last = (np.concatenate(x) for x in zip(*parts))
+    begin = at[text]
+    return text, place - begin, h, first - begin, last - begin
 
 
-def _anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    h = kmer_hashes(raw)
+def _piece(raw: np.ndarray, low: int, at: np.ndarray) -> tuple[np.ndarray, ...]:
     width = WINDOW - KMER + 1
-    none = np.zeros(0, np.int64)
-    if len(h) < width:
-        return none, h[:0], none, none
+    h = kmer_hashes(raw)
     least = _sliding(h, width, np.minimum)
-    # windows of one anchor are consecutive: cut where the smallest hash changes or its place falls out of the window
-    change = np.concatenate([[True], least[1:] != least[:-1]])
+    n = len(least)
+    # stretches of windows with one smallest hash, cut where a text begins or its last window has begun
+    change = np.empty(n, bool)
+    change[0] = True
+    np.not_equal(least[1:], least[:-1], out=change[1:])
+    near = at[max(0, np.searchsorted(at, low) - 1):np.searchsorted(at, low + n + WINDOW) + 1] - low
+    for cuts in (near, near - WINDOW + 1):
+        change[cuts[(cuts > 0) & (cuts < n)]] = True
     starts = np.flatnonzero(change)
-    ends = np.concatenate([starts[1:], [len(least)]])
-    place, hashes, first, last = [], [], [], []
-    long = ends - starts > 1
-    at = _first_equal(h, least, starts, width)
-    # the usual case: one place serves the whole stretch
-    plain = ~long | (at >= ends - 1)
-    place.append(at[plain])
-    first.append(starts[plain])
-    last.append(ends[plain] - 1)
-    for s, e in zip(starts[~plain].tolist(), ends[~plain].tolist()):  # equal strings near each other
+    ends = np.append(starts[1:], n)
+    text = np.searchsorted(at, starts + low, side="right") - 1
+    whole = starts + low + WINDOW <= at[np.minimum(text + 1, len(at) - 1)]
+    starts, ends, text = starts[whole], ends[whole], text[whole]
+    # the usual case: the first place of the smallest hash serves the whole stretch
+    place = _first_equal(h, least, starts, width)
+    plain = place >= ends - 1
+    out = [(text[plain], place[plain], starts[plain], ends[plain] - 1)]
+    for t, s, e in zip(text[~plain].tolist(), starts[~plain].tolist(), ends[~plain].tolist()):  # equal strings close together
         equal = np.flatnonzero(h[s:e - 1 + width] == least[s]) + s
-        w = s
+        w, rows = s, []
         while w < e:
             p = int(equal[np.searchsorted(equal, w)])
-            to = min(e - 1, p)
-            place.append(np.array([p]))
-            first.append(np.array([w]))
-            last.append(np.array([to]))
-            w = to + 1
-    place, first, last = (np.concatenate(x).astype(np.int64) for x in (place, first, last))
-    order = np.argsort(first, kind="stable")
-    place, first, last = place[order], first[order], last[order]
-    return place, h[place], first, last
+            rows.append((t, p, w, min(e - 1, p)))
+            w = p + 1
+        out.append(tuple(np.array(rows, np.int64).T))
+    text, place, first, last = (np.concatenate(x).astype(np.int64) for x in zip(*out))
+    if len(out) > 1:
+        order = np.argsort(first, kind="stable")
+        text, place, first, last = text[order], place[order], first[order], last[order]
+    return text, place + low, h[place], first + low, last + low
 
 
 def _first_equal(h, least, starts, width):
@@ -177,14 +184,12 @@ def _anchor_arrays(rows: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             raw, at = utf8_column(batch.column("_text"))
             ids = batch.column("_id").to_numpy(zero_copy_only=False)
-            for i in range(batch.num_rows):
-                body = raw[at[i]:at[i + 1]]
-                if len(body) < WINDOW:
-                    continue
-                place, h, _, _ = anchors(body)
-                held.append((h, np.full(len(h), ids[i], np.int64), place.astype(np.uint32)))
-                size += len(body)
-                if size >= _BLOCK:
+            for first, last in document_chunks(at, _BLOCK):
+                text, place, h, _, _ = anchors(raw[at[first]:at[last]], at[first:last + 1] - at[first])
+                if len(h):
+                    held.append((h, ids[first + text], place.astype(np.uint32)))
+                    size += len(h)
+                if size >= _ANCHORS:
                     yield emit(held)
                     held, size = [], 0
         if held:
@@ -247,28 +252,24 @@ _NUMBERS = struct.Struct(">qIQI")
 
 def front_code(entries: list[Entry]) -> bytes:
     """A sorted run: the length each suffix shares with the one before, the rest, and the other fields."""
-    out, before = [], b""
-    for suffix, left, *numbers in entries:
-        n = shared(before, suffix)
-        rest = suffix[n:]
-        out.append(bytes((n, len(rest), len(left))) + rest + left + _NUMBERS.pack(*numbers))
-        before = suffix
-    return b"".join(out)
+    if not entries:
+        return b""
+    suffixes = np.array([e[0] for e in entries], f"S{2 * WINDOW}").view(np.uint8).reshape(len(entries), -1)
+    length = np.array([len(e[0]) for e in entries])
+    differ = np.ones((len(entries), suffixes.shape[1] + 1), bool)  # the last column ends the search
+    differ[1:, :-1] = suffixes[1:] != suffixes[:-1]
+    common = differ.argmax(axis=1)
+    common[1:] = np.minimum(common[1:], np.minimum(length[1:], length[:-1]))
+    pack = _NUMBERS.pack
+    return b"".join([bytes((n, len(suffix) - n, len(left))) + suffix[n:] + left + pack(doc, tie, at, times)
+                     for n, (suffix, left, doc, tie, at, times) in zip(common.tolist(), entries)])
 
 
 def shared(a: bytes, b: bytes, known: int = 0) -> int:
     """Length of the common prefix, of which ``known`` bytes need no comparing."""
     n = min(len(a), len(b))
-    if a[known:n] == b[known:n]:
-        return n
-    low, high = known, n
-    while high - low > 1:  # equal up to low, different before high
-        mid = (low + high) // 2
-        if a[low:mid] == b[low:mid]:
-            low = mid
-        else:
-            high = mid
-    return low if a[low] != b[low] else high
+    differ = int.from_bytes(a[known:n], "big") ^ int.from_bytes(b[known:n], "big")
+    return n - (differ.bit_length() + 7) // 8
 
 
 def read_run(data: bytes) -> Iterator[list]:
@@ -327,83 +328,115 @@ class LoserTree:
         return b, a
 
     def __iter__(self):
-        while self.winner is not None and self.heads[self.winner] is not None:
-            i = self.winner
-            yield self.heads[i]
-            self.heads[i] = next(self.runs[i], None)  # shares with the last winner what it shares in its own run
-            node, best = (i + self.size) // 2, i
+        heads, tree, size = self.heads, self.tree, self.size
+        while self.winner is not None and heads[self.winner] is not None:
+            best = self.winner
+            yield heads[best]
+            x = heads[best] = next(self.runs[best], None)  # shares with the last winner what it shares in its own run
+            node = (best + size) >> 1
             while node:
-                best, self.tree[node] = self._play(best, self.tree[node])
-                node //= 2
+                other = tree[node]
+                y = heads[other] if other is not None else None
+                if y is not None:
+                    if x is None or x[0] < y[0]:
+                        tree[node], best, x = best, other, y
+                    elif x[0] == y[0]:
+                        best, tree[node] = self._play(best, other)
+                        x = heads[best]
+                node >>= 1
             self.winner = best
 
 
-def _bucket_of(data: bytes, buckets: int) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=4).digest(), "big") % buckets
-
-
-def _sorted_run(entries: list) -> pd.DataFrame:
+def _sorted_run(entries: list, buckets: int):
     """Buckets of one sorted run, and the spans it settles by itself.
 
     Of equal segments all but those of the smallest document repeat it; that
     one is exchanged, with its neighbouring copies in one entry.
     """
+    import pyarrow as pa
     entries.sort()
     settled: dict[int, list[tuple[int, int, int]]] = {}
     runs: dict[int, list[Entry]] = {}
     last = None
-    for suffix, left, doc, tie, at, bucket in entries:
-        if last is not None and last[0] == suffix and last[1] == left and doc > last[2]:
-            settled.setdefault(doc, []).append((tie, at, at + len(left) + len(suffix)))
-            continue
-        run = runs.setdefault(bucket, [])
-        if last is not None and last[:4] == (suffix, left, doc, tie) and run and run[-1][4] + run[-1][5] == at:
-            run[-1] = (*run[-1][:5], run[-1][5] + 1)
-        else:
-            run.append((suffix, left, doc, tie, at, 1))
+    for bucket, suffix, left, doc, tie, at in entries:
+        if last is not None and last[0] == suffix and last[1] == left:
+            if doc > last[2]:
+                settled.setdefault(doc, []).append((tie, at, at + len(left) + len(suffix)))
+                continue
+            before = runs[bucket][-1]
+            if last[3] == tie and before[4] + before[5] == at:
+                runs[bucket][-1] = (*before[:5], before[5] + 1)
+                continue
+        runs.setdefault(bucket, []).append((suffix, left, doc, tie, at, 1))
         last = (suffix, left, doc, tie)
-    rows = [(0, b, front_code(run), None, None) for b, run in runs.items()]
-    rows += [(1, None, None, d, np.array(s, np.int64).tobytes()) for d, s in settled.items()]
-    return pd.DataFrame(rows, columns=["kind", "bucket", "run", "_id", "spans"]).astype({"bucket": "Int32", "_id": "Int64"})
+    columns = [[0] * len(runs) + [1] * len(settled), [*runs, *(d % buckets for d in settled)],
+               [*map(front_code, runs.values()), *[None] * len(settled)], [*[None] * len(runs), *settled],
+               [*[None] * len(runs), *(np.array(s, np.int64).tobytes() for s in settled.values())]]
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "bucket", "run", "_id", "spans"])
+
+
+def _told(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key (text and place), hash and hotness of the repeated anchors of several texts, by key."""
+    keys, hashes, hot = [], [], []
+    for i, row in enumerate(rows):
+        for t in row:
+            n = len(t) // 9
+            keys.append(np.frombuffer(t, np.uint32, n).astype(np.int64) | i << 32)
+            hashes.append(np.frombuffer(t, np.uint32, n, 4 * n))
+            hot.append(np.frombuffer(t, bool, n, 8 * n))
+    keys, hashes, hot = np.concatenate(keys), np.concatenate(hashes), np.concatenate(hot)
+    order = np.argsort(keys, kind="stable")
+    return keys[order], hashes[order], hot[order]
 
 
 def _runs(candidates: DataFrame, buckets: int) -> DataFrame:
     """Front-coded runs per bucket (``kind`` 0), and spans that a task's own run already settles (``kind`` 1)."""
     def work(batches):
-        entries, size = [], 0
-        for pdf in batches:
-            for doc, text, told in zip(pdf["_id"], pdf["_text"], pdf["anchors"]):
-                body = text.encode()
-                place, h, first, last = anchors(np.frombuffer(body, np.uint8))
-                short = _short(h, 1)[1]
-                hot_of = {}
-                for t in told:
-                    n = len(t) // 9
-                    hot_of.update(zip(zip(np.frombuffer(t, np.uint32, n).tolist(), np.frombuffer(t, np.uint32, n, 4 * n).tolist()),
-                                      t[8 * n:]))
-                tie = zlib.crc32(body)
-                for a, g, s, e in zip(place.tolist(), short.tolist(), first.tolist(), last.tolist()):
-                    hot = hot_of.get((a, g))
-                    if hot is None:
-                        continue
-                    if hot:
-                        for w in range(s, e + 1):
-                            window = body[w:w + WINDOW]
-                            entries.append((window, b"", doc, tie, w, _bucket_of(window, buckets)))
-                    else:
-                        entries.append((body[a:e + WINDOW], body[s:a], doc, tie, s, _bucket_of(body[a:a + KMER], buckets)))
-                    if len(entries) >= _RUN:
-                        yield _sorted_run(entries)
-                        entries = []
+        entries = []
+        for batch in batches:
+            raw, at = utf8_column(batch.column("_text"))
+            ids = batch.column("_id").to_pylist()
+            wanted, theirs, hots = _told(batch.column("anchors").to_pylist())
+            text, place, h, first, last = anchors(raw, at)
+            # only anchors told for this place, and with the hash told: another text under the same id has others there
+            key = place | text << 32
+            spot = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+            short = _short(h, 1)[1]
+            take = np.flatnonzero((wanted[spot] == key) & (theirs[spot] == short))
+            bucket = ((h[take] >> np.uint64(16)) % np.uint64(buckets)).tolist()
+            begin = at[text[take]]
+            ties: dict[int, int] = {}
+            body = raw.tobytes()
+            for t, o, a, s, e, b, hot in zip(text[take].tolist(), begin.tolist(), place[take].tolist(), first[take].tolist(),
+                                             last[take].tolist(), bucket, hots[spot[take]].tolist()):
+                tie = ties.get(t)
+                if tie is None:
+                    tie = ties[t] = zlib.crc32(body[o:at[t + 1]])
+                if hot:
+                    for w in range(s, e + 1):
+                        window = body[o + w:o + w + WINDOW]
+                        entries.append((zlib.crc32(window) % buckets, window, b"", ids[t], tie, w))
+                else:
+                    entries.append((b, body[o + a:o + e + WINDOW], body[o + s:o + a], ids[t], tie, s))
+                if len(entries) >= _RUN:
+                    yield _sorted_run(entries, buckets)
+                    entries = []
         if entries:
-            yield _sorted_run(entries)
+            yield _sorted_run(entries, buckets)
 
-    return candidates.mapInPandas(work, "kind int, bucket int, run binary, _id long, spans binary")
+    return candidates.mapInArrow(work, "kind int, bucket int, run binary, _id long, spans binary")
 
 
 def _settle(group: list, spans: dict[int, list[tuple[int, int, int]]]) -> None:
     """Repeats within the segments of one anchor (or copies of one window)."""
-    if len({g[3] for g in group}) < 2:
+    if len(group) < 2 or len({g[3] for g in group}) < 2:
+        return
+    if len({(g[1], g[2]) for g in group}) == 1:  # one segment in several documents
+        first = min(g[3] for g in group)
+        for _, suffix, left, doc, tie, at, times in group:
+            if doc > first:
+                spans.setdefault(doc, []).append((tie, at, at + times - 1 + len(left) + len(suffix)))
         return
     smallest: dict[bytes, int] = {}
     cut = []
@@ -425,22 +458,27 @@ def _settle(group: list, spans: dict[int, list[tuple[int, int, int]]]) -> None:
 
 
 def _merged_spans(runs: DataFrame, parts: int) -> DataFrame:
-    """Merge the runs of each bucket; spans of repeated bytes per document. A task holds one bucket at a time."""
+    """Merge the runs of each bucket: spans of repeated bytes per document, with those that runs have settled themselves.
+
+    A task holds one bucket at a time.
+    """
     def work(batches):
         for rows in _by_bucket(batches):
             spans: dict[int, list[tuple[int, int, int]]] = {}
             group: list = []
-            for entry in LoserTree([r.run for r in rows]):
+            for entry in LoserTree([r.run for r in rows if r.kind == 0]):
                 if group and entry[0] < KMER:
                     _settle(group, spans)
                     group = []
                 group.append(entry)
             _settle(group, spans)
-            if spans:
-                yield pd.DataFrame({"_id": list(spans), "spans": [np.array(s, np.int64).tobytes() for s in spans.values()]})
+            done = [(i, np.array(s, np.int64).tobytes()) for i, s in spans.items()]
+            done += [(int(r.doc), r.spans) for r in rows if r.kind == 1]
+            if done:
+                yield pd.DataFrame(done, columns=["_id", "spans"])
 
-    return (runs.filter("kind = 0").select("bucket", "run").repartition(parts, "bucket").sortWithinPartitions("bucket")
-            .mapInPandas(work, "_id long, spans binary"))
+    told = runs.select("kind", "bucket", "run", F.col("_id").cast("string").alias("doc"), "spans")  # no floats from null ids
+    return told.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInPandas(work, "_id long, spans binary")
 
 
 def union_of(spans: list[bytes], tie: int) -> list[tuple[int, int]]:
@@ -472,12 +510,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     null_id = (1 << 63) - 1
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("_id"), body.alias("_text"))
 
-    repeated = staged(_repeated_anchors(_anchor_arrays(rows, buckets), parts), "repeated-anchors")
+    # whole copies of smaller ids: found by digest, and only ids all of whose rows are such copies
+    digests = staged(rows.select("_id", F.sha2("_text", 256).alias("_sha"), F.octet_length("_text").cast("long").alias("n_bytes")),
+                     "text-digests")
+    first = staged(digests.filter(F.col("n_bytes") >= WINDOW).groupBy("_sha").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+                   .filter("_n > 1").select(F.col("_sha").alias("_first_sha"), "_first"), "first-copies")
+    copies = staged(digests.join(first, F.col("_sha") == F.col("_first_sha"), "left")
+                    .groupBy("_id").agg(F.min(F.coalesce(F.col("_first") < F.col("_id"), F.lit(False))).alias("_copy"))
+                    .filter("_copy").select(F.col("_id").alias("_copy_id")), "copies")
+    rows = rows.join(copies, F.col("_id") == F.col("_copy_id"), "left_anti")
+    repeated = _repeated_anchors(_anchor_arrays(rows, buckets), parts)
     wanted = staged(repeated.groupBy(F.col("_id").alias("_wanted")).agg(F.collect_list("anchors").alias("anchors")), "wanted-anchors")
     texts = staged(rows.join(wanted, F.col("_id") == F.col("_wanted")).select("_id", "_text", "anchors"), "candidates")
-    runs = staged(_runs(texts, buckets), "sorted-runs")
-    settled = runs.filter("kind = 1").select("_id", "spans")
-    found = staged(settled.unionAll(_merged_spans(runs, parts)).groupBy(F.col("_id").alias("_repeating"))
+    found = staged(_merged_spans(_runs(texts, buckets), parts).groupBy(F.col("_id").alias("_repeating"))
                    .agg(F.collect_list("spans").alias("spans")), "repeat-spans")
 
     def cut(batches):
@@ -497,10 +542,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     changed = staged(texts.select("_id", "_text").join(found, F.col("_id") == F.col("_repeating")).select("_id", "_text", "spans").mapInPandas(
         cut, "_id long, _sha string, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>, kept binary"), "cut-texts")
     changed = changed.dropDuplicates(["_id", "_sha"]).withColumnsRenamed({"_id": "_changed", "_sha": "_its_sha"})
-    every = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("_id"), F.sha2(body, 256).alias("_sha"),
-                        F.octet_length(body).cast("long").alias("n_bytes"), *([F.encode(body, "UTF-8").alias("_whole")] * kept_text))
-    done = every.join(changed, (F.col("_id") == F.col("_changed")) & (F.col("_sha") == F.col("_its_sha")), "left")
+    every = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("_id"), body.alias("_text"))
+    every = every.select(id_col, "_id", F.sha2("_text", 256).alias("_sha"), F.octet_length("_text").cast("long").alias("n_bytes"),
+                         *([F.encode("_text", "UTF-8").alias("_whole")] * kept_text))
+    done = (every.join(changed, (F.col("_id") == F.col("_changed")) & (F.col("_sha") == F.col("_its_sha")), "left")
+            .join(copies, F.col("_id") == F.col("_copy_id"), "left"))
+    copy = F.col("_copy_id").isNotNull()
     none = F.array().cast("array<array<long>>")
-    return done.select(F.col(id_col).cast(kind).alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-                       F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "_sha").alias("kept_sha256"),
-                       F.coalesce("spans", none).alias("spans"), *([F.coalesce("kept", "_whole").alias("kept")] * kept_text))
+    whole = F.array(F.array(F.lit(0).cast("long"), F.col("n_bytes")))
+    return done.select(
+        F.col(id_col).cast(kind).alias(id_col), "n_bytes",
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
+        F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "_sha")).alias("kept_sha256"),
+        F.when(copy, whole).otherwise(F.coalesce("spans", none)).alias("spans"),
+        *([F.when(copy, F.encode(F.lit(""), "UTF-8")).otherwise(F.coalesce("kept", "_whole")).alias("kept")] * kept_text))

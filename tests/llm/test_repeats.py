@@ -60,7 +60,7 @@ def rows_with_repeats(n=60):
 @pytest.fixture
 def small(monkeypatch):
     """Several runs and pieces even for small inputs (in the functions that tests call on the driver)."""
-    monkeypatch.setattr(R, "_CHUNK", 300)
+    monkeypatch.setattr(R, "_PIECE", 300)
 
 
 def test_table(spark):
@@ -94,7 +94,7 @@ def test_kept_text(spark):
 @given(st.lists(st.sampled_from([b"a", b"b", b"ab" * 30, b"a" * 70, b"xyz", bytes(range(40, 100)), b" the "]), max_size=30).map(b"".join))
 def test_anchors_cover_every_window_by_content(data):
     raw = np.frombuffer(data, np.uint8)
-    place, h, first, last = R.anchors(raw)
+    _, place, h, first, last = R.anchors(raw)
     starts = [w for a, b in zip(first.tolist(), last.tolist()) for w in range(a, b + 1)]
     assert starts == list(range(max(0, len(data) - R.WINDOW + 1)))
     seen = {}
@@ -106,12 +106,24 @@ def test_anchors_cover_every_window_by_content(data):
 
 def test_pieces_of_a_long_text(small):
     data = (text(300, 3) + "a" * 400).encode()
-    place, h, first, last = R.anchors(np.frombuffer(data, np.uint8))
+    _, place, h, first, last = R.anchors(np.frombuffer(data, np.uint8))
     starts = [w for a, b in zip(first.tolist(), last.tolist()) for w in range(a, b + 1)]
     assert starts == list(range(len(data) - R.WINDOW + 1))
     assert (h == R.kmer_hashes(np.frombuffer(data, np.uint8))[place]).all()
 
 
+def test_anchors_of_many_texts_are_those_of_each(small):
+    texts = [t.encode() for _, t in rows_with_repeats()] + [b"", b"x" * 49, b"x" * 50, b""]
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    text, place, h, first, last = R.anchors(np.frombuffer(b"".join(texts), np.uint8), at)
+    have = {(t, w, p, g) for t, p, g, s, e in zip(*(x.tolist() for x in (text, place, h, first, last))) for w in range(s, e + 1)}
+    want = set()
+    for i, t in enumerate(texts):
+        _, place, h, first, last = R.anchors(np.frombuffer(t, np.uint8))
+        want |= {(i, w, p, g) for p, g, s, e in zip(*(x.tolist() for x in (place, h, first, last))) for w in range(s, e + 1)}
+    assert have == want
+
+
 entries = st.lists(st.lists(st.sampled_from([b"a", b"b", b"ab"]), min_size=1, max_size=12).map(b"".join), max_size=25)
 
 
