@@ -127,6 +127,11 @@ class Codec:
         """
         tail, pair, course = self.tails.get, self.pairs.get, self.courses.get
         for end in range(len(last), stop + 1):
+            if end <= self.longest:  # a prefix that is one token ends in it
+                token = tail(data[:end], -1)
+                if token >= 0 and (course(token) or self.course(token))[3]:
+                    last.append(token)
+                    continue
             begin, met = end - 1, []
             token = tail(data[begin:end])
             while token is not None:
