@@ -13,8 +13,9 @@ are verified against those others whose one-bit minimum hashes (``BITS`` of
 them) leave a similarity of the threshold possible. So a bucket of one component costs a
 pair per member, and links between components are still found.
 
-Verification aligns the labelled shingles of two texts in order, within the
-band that the threshold allows: aligned / (all of both - aligned) >= SIMILARITY.
+Verification aligns the shingles of two texts in order (longest common
+subsequence, without occurrence numbers), within the band that the threshold
+allows: aligned / (all of both - aligned) >= SIMILARITY.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def labelled_shingles(words: np.ndarray) -> np.ndarray:
-    """Hashes of five-word shingles (one of all words where there are fewer) with their occurrence numbers."""
+def word_shingles(words: np.ndarray) -> np.ndarray:
+    """Hashes of five-word shingles (one of all words where there are fewer) in the order of the text."""
     k = min(SHINGLE, len(words))
     if not k:
         return np.zeros(0, np.uint64)
@@ -53,6 +54,15 @@ def labelled_shingles(words: np.ndarray) -> np.ndarray:
     h = np.zeros(n, np.uint64)
     for i in range(k):
         h = _mix(h * _MIX + words[i:i + n].astype(np.uint64) + np.uint64(1))
+    return h
+
+
+def labelled_shingles(words: np.ndarray) -> np.ndarray:
+    """The same with their occurrence numbers: a set that stands for the multiset, for sampling only."""
+    h = word_shingles(words)
+    n = len(h)
+    if not n:
+        return h
     order = np.argsort(h, kind="stable")
     same = np.concatenate([[False], h[order][1:] == h[order][:-1]])
     if same.any():  # occurrence numbers, for the repeated ones
@@ -109,30 +119,91 @@ def most_differing_bits(threshold: float) -> int:
     return int(mean + BIT_DEVIATIONS * (mean * (1 + threshold) / 2) ** 0.5)
 
 
+def _increasing_run(j: np.ndarray) -> int:
+    """Length of the longest increasing run: the alignment of texts without repeats."""
+    if (np.diff(j) > 0).all():
+        return len(j)
+    tails: list[int] = []
+    for x in j.tolist():
+        at = bisect_left(tails, x)
+        tails[at:at + 1] = [x]
+    return len(tails)
+
+
+def _banded_alignment(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Longest common subsequence of small integers, over at least all places no more than ``band`` apart.
+
+    Bit-parallel: a bit per place of ``a`` inside the band, cleared where the
+    alignment with ``b`` so far grows. Places below the band have no more
+    matches, so their bits are final and only counted.
+    """
+    order = np.argsort(a, kind="stable")
+    starts = np.searchsorted(a[order], np.arange(int(max(a.max(), b.max())) + 2))
+    rows = b.tolist()
+    step = max(16, min(band // 2 + 64, (1 << 28) // (2 * band + 64)))  # masks of one step: some 32 MB at most
+    low = width = aligned = v = 0
+    for first in range(0, len(b), step):
+        last = min(first + step, len(b))
+        lo, hi = min(max(0, first - band), len(a)), min(len(a), last + band)
+        cut = lo - low
+        aligned += cut - (v & ((1 << cut) - 1)).bit_count()
+        v, width = v >> cut, width - cut
+        v |= ((1 << hi - lo - width) - 1) << width
+        low, width = lo, hi - lo
+        full, masks = (1 << width) - 1, {}
+        for x in rows[first:last]:
+            mask = masks.get(x)
+            if mask is None:
+                places = order[starts[x]:starts[x + 1]]
+                places = places[np.searchsorted(places, lo):np.searchsorted(places, hi)] - lo
+                if len(places) <= 8:
+                    mask = sum(1 << p for p in places.tolist())
+                else:
+                    bits = np.zeros(width, np.uint8)
+                    bits[places] = 1
+                    mask = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+                masks[x] = mask
+            u = v & mask
+            if u:
+                v = (v + u | v - u) & full
+    return aligned + width - v.bit_count()
+
+
 def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> float:
-    """Share of labelled shingles aligned in order within the band of ``threshold``; 0 where it can't be reached.
+    """Share of shingles aligned in order; 0 where ``threshold`` can't be reached.
 
+    The alignment is the longest common subsequence, repeated shingles included.
     A similarity of ``s`` leaves at most ``(1 - s) / (1 + s)`` of both texts'
     shingles unaligned, and no aligned pair can be further apart than that many.
     """
     n = len(a) + len(b)
     if not len(a) or not len(b) or min(len(a), len(b)) < threshold * max(len(a), len(b)):
         return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    near = np.abs(i - j) <= n * (1 - threshold) / (1 + threshold) + 1
-    i, j = i[near], j[near]
-    if len(i) < threshold * (n - len(i)):
+    ends, short = 0, min(len(a), len(b))  # equal beginnings and ends belong to some longest alignment
+    differ = np.flatnonzero(a[:short] != b[:short])
+    head = int(differ[0]) if len(differ) else short
+    a, b, ends, short = a[head:], b[head:], head, short - head
+    differ = np.flatnonzero(a[len(a) - short:] != b[len(b) - short:])
+    tail = short - 1 - int(differ[-1]) if len(differ) else short
+    a, b, ends = a[:len(a) - tail], b[:len(b) - tail], ends + tail
+    both, which = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = which[:len(a)], which[len(a):]
+    count_x, count_y = np.bincount(x, minlength=len(both)), np.bincount(y, minlength=len(both))
+    most = ends + int(np.minimum(count_x, count_y).sum())
+    if most < threshold * (n - most):
         return 0.0
-    j = j[np.argsort(i)]
-    if (np.diff(j) > 0).all():
-        m = len(j)
+    shared = (count_x > 0) & (count_y > 0)
+    x, y = x[shared[x]], y[shared[y]]  # the others move places closer together at most
+    if not len(x):
+        m = ends
+    elif count_x[shared].max() == 1 == count_y[shared].max():
+        place = np.empty(len(both), np.int64)
+        place[y] = np.arange(len(y))
+        m = ends + _increasing_run(place[x])
     else:
-        tails: list[int] = []
-        for x in j.tolist():  # longest increasing run: the alignment's length
-            at = bisect_left(tails, x)
-            tails[at:at + 1] = [x]
-        m = len(tails)
-    return m / (n - m)
+        m = ends + _banded_alignment(x, y, int(n * (1 - threshold) / (1 + threshold)) + 1)
+    similarity = m / (n - m)
+    return similarity if similarity >= threshold else 0.0
 
 
 def _each_text(batch):
@@ -201,8 +272,8 @@ def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
             for x, y in zip(batch.column("wa"), batch.column("wb")):
                 x, y = x.as_py(), y.as_py()
                 if x != held:  # a hub's pairs mostly come together
-                    held, shingles = x, labelled_shingles(np.frombuffer(x, np.uint32))
-                keep.append(aligned_similarity(shingles, labelled_shingles(np.frombuffer(y, np.uint32)), threshold) >= threshold)
+                    held, shingles = x, word_shingles(np.frombuffer(x, np.uint32))
+                keep.append(aligned_similarity(shingles, word_shingles(np.frombuffer(y, np.uint32)), threshold) >= threshold)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = words.select(F.col("node").alias("a"), F.col("words").alias("wa"))

@@ -145,3 +145,36 @@ def test_components_of_a_long_chain(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(60)] + [("x", "y"), ("y", "z"), ("x", "z")]
     have = {r["node"]: r["root"] for r in N.components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert have == {f"{i:03}": "000" for i in range(61)} | {"x": "x", "y": "x", "z": "x"}
+
+
+def unlabelled(text):
+    w = words(text)
+    return [tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4) if w else 0)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("ab"), max_size=70), st.lists(st.sampled_from("abc"), max_size=8), st.integers(0, 70), st.integers(1, 3))
+def test_alignment_of_repeated_shingles(a, new, at, times):
+    a = a * times
+    b = a[:at] + new + a[at + len(new) // 2:]
+    want = similarity(unlabelled(" ".join(a)), unlabelled(" ".join(b)))
+    ids = {w: i + 1 for i, w in enumerate("abc")}
+    have = N.aligned_similarity(*(N.word_shingles(np.array([ids[w] for w in t], np.uint64)) for t in (a, b)))
+    assert have == want if want >= 0.8 else have < 0.8
+
+
+def test_long_alignment_crosses_many_steps_of_the_band():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 40, 3000).astype(np.uint64)
+    b = np.delete(a, rng.integers(0, 3000, 150))
+    b = np.insert(b, rng.integers(0, len(b), 100), np.uint64(7))
+    assert N.aligned_similarity(a, b) == similarity(a.tolist(), b.tolist()) > 0.8
+
+
+def test_repeated_lines_survive_an_early_edit(spark):
+    line = varied(12, 70)
+    text = "\n".join(f"{line}\n{varied(9, 80 + i)}" for i in range(12))
+    less = text.split(" ", 10)[10]  # the first ten words dropped: the line's copies change their numbers
+    assert N.aligned_similarity(*(N.labelled_shingles(np.array([hash(w) & 0xFFFFFFFF for w in words(t)], np.uint64)) for t in (text, less))) < 0.8
+    rows = [(1, text), (2, less), (3, varied(250, 99))]
+    assert {k: c for k, c, _ in got(spark.createDataFrame(rows, "doc_id long, text string"))} == {1: 1, 2: 1, 3: 3}
