@@ -97,3 +97,57 @@ def test_window_counts(spark):
                 code = code << 6 | int(a[i + d])
             want[code] = want.get(code, 0) + 1
     assert {r["code"]: r["n"] for r in L.window_counts(df, classes).collect()} == want
+
+
+def rare_model(letters="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"):
+    counts = pd.DataFrame([(ord(c), 9000 - i) for i, c in enumerate(letters)] + [(0x430 + i, 90 - i) for i in range(32)], columns=["point", "n"])
+    classes, within = L.character_classes(counts)
+    return classes, within, L.Rare(counts, classes)
+
+
+def test_gradient_with_rare_characters():
+    classes, _, rare = rare_model()
+    rng = np.random.default_rng(5)
+    p = {k: (v + 0.3 * rng.standard_normal(v.shape)).astype(np.float64) for k, v in L.initial(rare=rare).items()}
+    ranks = rng.integers(0, rare.size + 1, (60, 5)) * rng.integers(0, 2, (60, 5))
+    places = np.where(ranks > 0, 63, rng.integers(1, 63, (60, 5)))
+    context, target = (places[:, :4] << np.array([18, 12, 6, 0])).sum(axis=1), places[:, 4]
+    w = rng.integers(1, 9, 60).astype(float)
+    loss = lambda: -(L.rare_log_probabilities(p, context, target, ranks, rare) * w).sum() / w.sum()
+    g = L.gradient(p, context, target, w, ranks, rare)
+    for k in p:
+        for i in map(tuple, np.argwhere(np.abs(g[k]) > np.abs(g[k]).max() / 2)[:3]):
+            old, e = p[k][i], 1e-5
+            p[k][i] = old + e
+            up = loss()
+            p[k][i] = old - e
+            down = loss()
+            p[k][i] = old
+            assert (up - down) / (2 * e) == pytest.approx(g[k][i], rel=1e-3)
+
+
+def test_probabilities_of_all_characters_add_up_to_one():
+    classes, _, rare = rare_model()
+    p = {k: v + np.float32(0.2) * np.random.default_rng(1).standard_normal(v.shape).astype(np.float32)
+         for k, v in L.initial(rare=rare).items()}
+    points = [*range(48, 58), *range(65, 91), *range(97, 123), *range(0x430, 0x450), 0x4E00]  # the last: never counted
+    target, own = classes[points].astype(np.int64), rare.ranks[points]
+    ranks = np.zeros((len(points), 5), np.int64)
+    ranks[:, 0], ranks[:, 4] = rare.ranks[0x433], own
+    context = np.full(len(points), (63 << 18) + (5 << 12) + (6 << 6) + 7)
+    boundary = np.exp(L.rare_log_probabilities(p, context[:1], np.zeros(1, np.int64), ranks[:1] * [1, 1, 1, 1, 0], rare))[0]
+    assert np.exp(L.rare_log_probabilities(p, context, target, ranks, rare)).sum() + boundary == pytest.approx(1, abs=1e-4)
+
+
+def test_letters_of_a_rare_script_are_predicted_from_their_neighbours(spark, docs):
+    rng = np.random.default_rng(8)
+    lexicon = ["время", "город", "книга", "дорога",
+               "слово", "письмо", "утро", "река"]
+    said = [[lexicon[i] for i in rng.integers(0, 8, 60)] for _ in range(60)]
+    mixed = [["".join(rng.permutation(list(w))) for w in t] for t in said[:20]]
+    latin = [(10_000 + i, r["text"]) for i, r in enumerate(docs.filter("lang = 'en'").limit(300).collect())]
+    corpus = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(said)] + latin, "doc_id long, text string").coalesce(2)
+    held = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(said[:20])] + [(100 + i, " ".join(t)) for i, t in enumerate(mixed)],
+                                 "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["mean_log_prob"] for r in L.pseudo_likelihood(held, corpus=corpus).collect()}
+    assert all(got[i] > got[100 + i] + 0.5 for i in range(20))
