@@ -1,4 +1,4 @@
-"""Hand-made trip rows for rule tests."""
+"""Table folders and hand-made trip rows for tests."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ridelake.contracts import CONFORMED_FIELDS
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
 BASE = dt.datetime(2024, 1, 10, 12, 0, 0)
 
 

@@ -1,6 +1,6 @@
 """Fact-table invariants on the driver tables."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from ridelake.operators import facts

@@ -36,7 +36,7 @@ def _silver(spark, root):
 
 
 def test_silver_job_over_drifting_files_equals_the_uniform_ones(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from ridelake.operators import silver
     from ridelake.plans import silver_job
     from ridelake.sources import fixtures as FX
@@ -50,7 +50,7 @@ def test_silver_job_over_drifting_files_equals_the_uniform_ones(spark):
 
 def test_rerun_empties_a_month_without_survivors(spark):
     """A corrected month of which no row survives leaves nothing of the first run, in silver and in the audit."""
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from ridelake.plans import silver_job
     from ridelake.sources import fixtures as FX
     root = scratch_path(spark, "rerun")
@@ -67,7 +67,7 @@ def test_rerun_empties_a_month_without_survivors(spark):
 
 
 def test_rerun_leaves_months_it_did_not_read(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from ridelake.plans import silver_job
     from ridelake.sources import fixtures as FX
     root = scratch_path(spark, "rerun-part")
@@ -149,7 +149,7 @@ def test_silver_job_rerun_replaces_its_audit(spark):
     from ridelake.plans import silver_job
     from ridelake.queries import bronze_files
     from ridelake.sources import writers as WR
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     folders = bronze_files(spark, SF_SMALL, False)
     root = scratch_path(spark, "silver-job-rerun")
     a1 = silver_job.run(spark, folders, f"{root}/silver", f"{root}/audit", "r1").count()
@@ -162,7 +162,7 @@ def test_silver_job_rerun_replaces_its_audit(spark):
 def test_file_without_month_in_path_reads_with_null_month(spark):
     """A bronze file whose name carries no month is read (NULL file month, so its rows fail the
     month rule and show in the audit) instead of failing the scan under ANSI casts."""
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from ridelake.sources import fixtures as FX
     root = scratch_path(spark, "bronze-nomonth")
     raw = FX.raw_frame(FX.trips_bronze(spark, SF_SMALL), "yellow").drop("trip_id", "file_anio", "file_mes")

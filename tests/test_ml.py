@@ -1,6 +1,6 @@
 """Clustering and forecasting on the driver tables."""
 
-from conftest import SF_MID, SF_SMALL
+from helpers import SF_MID, SF_SMALL
 from pyspark.sql import functions as F
 
 from ridelake.operators import cluster as CL

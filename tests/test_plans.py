@@ -4,7 +4,7 @@ import contextlib
 import io
 import re
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from ridelake.queries import REGISTRY
 

@@ -51,11 +51,13 @@ def test_profile_severity_labels(spark):
 
 
 def test_audit_latest(spark):
+    """The latest run time wins; equal run times go by the run id."""
     log = spark.createDataFrame(
-        [("yellow", 2023, 1, 10, 9, 1), ("yellow", 2023, 1, 10, 8, 2), ("green", 2023, 1, 5, 5, 1)],
-        "tipo_vehiculo string, anio int, mes int, filas_entrada long, filas_salida long, run_ts int")
+        [("yellow", 2023, 1, 10, 9, 1, "r1"), ("yellow", 2023, 1, 10, 8, 2, "r2"), ("green", 2023, 1, 5, 5, 1, "r1"),
+         ("fhv", 2023, 1, 6, 6, 3, "r3"), ("fhv", 2023, 1, 6, 4, 3, "r4")],
+        "tipo_vehiculo string, anio int, mes int, filas_entrada long, filas_salida long, run_ts int, run_id string")
     got = {(r.tipo_vehiculo, r.filas_salida) for r in QL.audit_latest(log).collect()}
-    assert got == {("yellow", 8), ("green", 5)}
+    assert got == {("yellow", 8), ("green", 5), ("fhv", 4)}
 
 
 def test_audit_from_counts_keeps_months_with_no_surviving_rows(spark):

@@ -1,6 +1,6 @@
 """The incremental stream equals the batch result and never reprocesses a file."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from ridelake.contracts import SILVER_COLUMNS
