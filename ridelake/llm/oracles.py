@@ -67,3 +67,45 @@ WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM docum
 SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
   sha256(unhex(CASE WHEN k IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)"""
+
+
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR) END"
+
+
+def _hashed(text: str) -> str:
+    return "sha256(" + " || ".join(f"({_field(x)})" for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda x: CAST(ord(x) AS UBIGINT))), lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS UBIGINT) for z in range(8)]),
+    lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))), CAST(4294967295 AS UBIGINT))"""
+
+
+def _merkle(levels: int = 6, fanout: int = 16) -> str:
+    """One CTE per level, ``levels`` within a source and as many above: enough for ``fanout ** levels`` nodes each."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [f"""leaves AS (SELECT row_number() OVER () AS r, doc_id, source, leaf, CASE WHEN {_CRC32} % 5 = 0 THEN tampered ELSE leaf END AS shown
+  FROM (SELECT *, {_hashed('text')} AS leaf, {_hashed(lower)} AS tampered FROM documents))""",
+            """n0 AS (SELECT source AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS p, r, leaf AS h FROM leaves)""",
+            """s0 AS (SELECT leaves.r, g, p, shown AS cur, '' AS proof FROM n0 JOIN leaves ON n0.r = leaves.r)"""]
+    for k in range(2 * levels):
+        if k == levels:  # what is left of each source, ordered by source
+            ctes.append(f"subroots AS (SELECT g AS source, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i FROM n{k})")
+            ctes.append(f"n{k}t AS (SELECT CAST(0 AS BIGINT) AS g, i AS p, subroot AS h FROM subroots)")
+            ctes.append(f"s{k}t AS (SELECT r, CAST(0 AS BIGINT) AS g, i AS p, cur, proof FROM s{k} JOIN subroots ON g IS NOT DISTINCT FROM source)")
+        t = "t" if k == levels else ""
+        ctes.append(f"""u{k} AS (SELECT g, p // {fanout} AS q, list(h ORDER BY p) AS hs FROM
+  (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM n{k}{t}) WHERE n > 1 GROUP BY ALL)""")
+        ctes.append(f"""n{k + 1} AS (SELECT g, q AS p, sha256(array_to_string(hs, '')) AS h FROM u{k} UNION ALL
+  SELECT g, p, h FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM n{k}{t}) WHERE n = 1)""")
+        ctes.append(f"""s{k + 1} AS (SELECT r, s.g, CASE WHEN hs IS NULL THEN p ELSE q END AS p,
+  CASE WHEN hs IS NULL THEN cur ELSE sha256(array_to_string(hs[1:p % {fanout}], '') || cur || array_to_string(hs[p % {fanout} + 2:], '')) END AS cur,
+  proof || CASE WHEN hs IS NULL THEN '' ELSE array_to_string(hs[1:p % {fanout}], '') || array_to_string(hs[p % {fanout} + 2:], '') END AS proof
+  FROM s{k}{t} s LEFT JOIN u{k} u ON s.g IS NOT DISTINCT FROM u.g AND s.p // {fanout} = u.q)""")
+    return ("WITH " + "\n, ".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, n.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = n.h AS verified
+FROM leaves JOIN s{2 * levels} s ON leaves.r = s.r JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source, n{2 * levels} n""")
+
+
+MERKLE = _merkle()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, lm_score, near_dup, oracles, repeats, secret_scan, warc
+from . import bpe, chat, decontaminate, fingerprints, language, lm_score, manifest, near_dup, oracles, repeats, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -96,4 +96,18 @@ def q_repeats(spark, sf_dir):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op13_butterfly_manifest", oracles.MERKLE)
+def q_manifest(spark, sf_dir):
+    """Merkle proofs of all documents; every fifth is shown with its text in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    leaf, lowered = (manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+                     for text in (F.col("text"), F.translate("text", upper, upper.lower())))
+    shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lowered).otherwise(leaf)
+    found = manifest.manifest(docs, "doc_id", "source", leaf, {"shown": shown})
+    folded = manifest.fold(F.col("shown"), F.col("proof"))
+    return found.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_query_equals_its_sql(spark, name):
     fn, sql = REGISTRY[name]
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
     want = con.execute(sql)
     names = [c[0] for c in want.description]
@@ -23,4 +23,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_has_its_query():
     names = list(REGISTRY)
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
