@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, fingerprints, language, lm_score, manifest, near_dup, oracles, repeats, secret_scan, warc
+from . import alignment, bpe, chat, decontaminate, fingerprints, language, lm_score, manifest, near_dup, oracles, repeats, secret_scan, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,13 @@ def q_repeats(spark, sf_dir):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op12_token_alignment")
+def q_alignment(spark, sf_dir):
+    """Tokens of two tokenizers aligned in every document, with corpus-wide counts of the linked ids."""
+    path = public_tokenizers.path
+    return alignment.align(table(spark, sf_dir, "documents"), path(alignment.TOKENIZER_A), path(alignment.TOKENIZER_B))[0]
+
+
 @register("op13_butterfly_manifest", oracles.MERKLE)
 def q_manifest(spark, sf_dir):
     """Merkle proofs of all documents; every fifth is shown with its text in lower case."""
