@@ -7,6 +7,10 @@ proto result (what older releases call the immutable proto). They are coarse: a
 character reports the whole of it, a byte-fallback token the end of it or nothing. Such runs are
 refined by the lengths of the decoded bytes; everywhere else the libraries' cuts stand.
 
+No token of either goes from a letter, digit or sign on into a space, so a text is cut there into units,
+a word with the white space before it, which both tokenize alike wherever they stand; a worker
+tokenizes and links each unit once and keeps it for the next time.
+
 Byte offsets where tokens of both end cut the text into groups. All
 A-B pairs of a group are linked. To count in how many documents a pair of ids is
 linked, texts are taken in batches of a bounded size: a batch sends each of its distinct
@@ -18,6 +22,7 @@ of documents are never joined one by one.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,8 +31,9 @@ from pyspark.sql import functions as F
 from .common import document_chunks, staged, utf8_column
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_BYTES = 2 << 20       # text tokenised and linked at once; a longer text is on its own
-BATCH_BYTES = 24 << 20      # text whose pairs are counted together before they are sent
+CHUNK_BYTES = 1 << 20       # text tokenised and linked at once; a longer text is on its own
+BATCH_BYTES = 8 << 20       # text whose pairs are counted together before they are sent
+KEPT_CHARS, KEPT_UNITS = 8 << 20, 400_000  # of units a worker remembers; then those met once go
 DENSE_LINKS = 4096          # links of a group from which on its distinct ids are paired instead of its tokens
 
 
@@ -57,28 +63,37 @@ class Tokenizers:
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
+        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size())):
+            raise ValueError("a piece goes on from another character into a space")
         self.text_a, self.text_b = ([f"{i}{sep}" for i in range(len(x)) for sep in (",", last)] for x, last in ((self.bytes_a, "|"), (self.bytes_b, ";")))
 
     def encode(self, texts: list[str]):
-        """Per text the ids and byte ends of A and of B over space + text, or None where either does not give back its bytes."""
+        """Which texts both give back byte by byte, and of these, A's and then B's ids, byte ends and tokens per text.
+
+        A text is not empty and is encoded with a space before it; the ends run on from text to text.
+        """
         shown = [" " + t for t in texts]
-        for text, space, a, b in zip(texts, shown, self.a.encode_batch(shown, add_special_tokens=False),
-                                     self.b.encode(texts, return_type="proto", num_threads=1)):
-            raw = space.encode()
-            ids_a, pieces = a.ids, b.pieces
-            ids_b = [p.id for p in pieces]
-            if not text or b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
-                yield None
-                continue
-            ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-            spans = np.array(a.offsets, np.int64)
-            if len(raw) != len(space):  # characters to bytes
-                starts = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-                spans = np.append(starts, len(raw))[spans]
-            ends_b = np.array([p.end for p in pieces], np.int64) + 1  # of the text, without the space
-            starts_b = np.array([p.begin for p in pieces], np.int64) + 1
-            starts_b[0] = 0
-            yield (ids_a, refined(spans[:, 0], spans[:, 1], self.size_a[ids_a]), ids_b, refined(starts_b, ends_b, self.size_b[ids_b]))
+        a, b = self.a.encode_batch(shown, add_special_tokens=False), self.b.encode(texts, return_type="proto", num_threads=1)
+        ids_a, ids_b = [x.ids for x in a], [[p.id for p in x.pieces] for x in b]
+        raw = [x.encode() for x in shown]
+        some = [i for i, (r, x, y) in enumerate(zip(raw, ids_a, ids_b))
+                if b"".join(map(self.bytes_a.__getitem__, x)) == r and b"".join(map(self.bytes_b.__getitem__, y)) == r]
+        n_a, n_b = (np.array([len(x[i]) for i in some], np.int64) for x in (ids_a, ids_b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x[i] for i in some), np.int64, int(n.sum())) for x, n in ((ids_a, n_a), (ids_b, n_b)))
+        sizes = np.array([len(raw[i]) for i in some], np.int64)
+        before = np.cumsum(sizes) - sizes
+        spans_a = np.fromiter(chain.from_iterable(chain.from_iterable(a[i].offsets for i in some)), np.int64, 2 * len(ids_a)).reshape(-1, 2)
+        chars = np.array([len(shown[i]) for i in some], np.int64)
+        spans_a += np.repeat(np.cumsum(chars) - chars, n_a)[:, None]
+        if int(chars.sum()) != int(sizes.sum()):  # characters to bytes
+            joined = np.frombuffer(b"".join(raw[i] for i in some), np.uint8)
+            spans_a = np.append(np.flatnonzero((joined & 0xC0) != 0x80), len(joined))[spans_a]
+        spans_b = np.fromiter(chain.from_iterable((p.begin, p.end) for i in some for p in b[i].pieces), np.int64, 2 * len(ids_b)).reshape(-1, 2)
+        spans_b += np.repeat(before + 1, n_b)[:, None]  # of the text, without the space
+        if some:
+            spans_b[np.cumsum(n_b) - n_b, 0] = before
+        return some, *((ids, refined(spans[:, 0], spans[:, 1], size[ids]), n) for ids, spans, size, n in (
+            (ids_a, spans_a, self.size_a, n_a), (ids_b, spans_b, self.size_b, n_b)))
 
 
 def refined(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -89,10 +104,9 @@ def refined(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarr
     """
     sure = ends - starts == sizes
     sure[:-1] &= starts[1:] == ends[:-1]
-    sure[1:] &= sure[:-1] | (starts[1:] == ends[:-1])
     if sure.all():
         return ends
-    exact, at = ends.copy(), 0
+    exact = ends.copy()
     rough = np.flatnonzero(~sure)
     first = rough[np.concatenate([[True], np.diff(rough) > 1])]
     last = rough[np.concatenate([np.diff(rough) > 1, [True]])]
@@ -126,18 +140,122 @@ def links(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.n
     return ga, gb, na, nb, [np.concatenate(x) for x in zip(*parts)]
 
 
-def group_text(t: Tokenizers, ids_a, ids_b, ga, gb, na, nb) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order, every id with the sign that follows it."""
-    if not len(ids_a):
-        return ""
-    before_a, before_b = np.cumsum(na), np.cumsum(nb) - nb
-    out = np.empty(len(ids_a) + len(ids_b), object)
-    last_a, last_b = np.append(ga[1:] != ga[:-1], True), np.append(gb[1:] != gb[:-1], True)
-    out[np.arange(len(ids_a)) + before_b[ga]] = list(map(t.text_a.__getitem__, (2 * ids_a + last_a).tolist()))
-    out[np.arange(len(ids_b)) + before_a[gb]] = list(map(t.text_b.__getitem__, (2 * ids_b + last_b).tolist()))
-    return "".join(out.tolist())[:-1]
-
-
+class Units:
+    """The units met so far: their counts, the text of their groups and their distinct links."""
+
+    def __init__(self, t: Tokenizers):
+        import regex
+        self.t, self.wide = t, len(t.bytes_b)
+        self.closing = regex.compile(r"[!-~\p{L}\p{N}]").fullmatch
+        self.closes: dict[str, bool] = {}
+        self.known: dict[str, int] = {}
+        self.chars, self.texts = 0, []
+        self.counts, self.used = np.zeros((0, 4), np.int64), np.zeros(0, np.int64)  # A tokens (-1: not given back), B tokens, groups, links
+        self.starts, self.codes, self.times = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def forget(self):
+        """Keep the units met more than once since the last time; none if these are too many as well."""
+        keep = self.used > 1
+        if keep.sum() > KEPT_UNITS // 2:
+            keep[:] = False
+        names = [u for u, k in zip(self.known, keep.tolist()) if k]
+        self.known, self.chars = dict(zip(names, range(len(names)))), sum(map(len, names))
+        at = np.flatnonzero(keep)
+        many = np.diff(self.starts)
+        held = np.repeat(keep, many)
+        self.texts = [self.texts[i] for i in at.tolist()]
+        self.counts, self.used, self.codes, self.times = self.counts[at], np.zeros(len(at), np.int64), self.codes[held], self.times[held]
+        self.starts = np.concatenate([[0], np.cumsum(many[at])])
+        if self.chars > KEPT_CHARS // 2:
+            self.used[:] = 0
+            self.forget()
+
+    def cut(self, text: str) -> list[str]:
+        """The units of space + text, each without the space it begins with."""
+        out, held, closes = [], None, self.closes
+        for part in text.split(" "):
+            if held is not None:
+                part = held + " " + part
+            last = part[-1:]
+            ends = closes.get(last)
+            if ends is None:
+                ends = closes[last] = bool(self.closing(last))
+            if ends:
+                out.append(part)
+                held = None
+            else:
+                held = part
+        if held:
+            out.append(held)
+        elif held is not None and out:  # the text ends in a space, which B knows only after something
+            out[-1] += " "
+        return out
+
+    def learn(self, units: list[str]):
+        """Tokenise and link units not known yet."""
+        some, (a, ea, n_a), (b, eb, n_b) = self.t.encode(units)
+        counts, texts = np.tile(np.array([[-1, 0, 0, 0]]), (len(units), 1)), [""] * len(units)
+        codes = times = of = np.zeros(0, np.int64)
+        if some:
+            ends = ea[np.cumsum(n_a) - 1]
+            ga, gb, na, nb, (g, la, lb, times) = links(a, ea, b, eb)
+            cut = [np.concatenate([[0], x]) for x in (np.cumsum(n_a), np.cumsum(n_b), ga[np.cumsum(n_a) - 1] + 1)]
+            bounds = np.concatenate([[0], np.cumsum(na * nb)])
+            counts[some] = np.stack([np.diff(cut[0]), np.diff(cut[1]), np.diff(cut[2]), np.diff(bounds[cut[2]])], 1)
+            shown = self.t.text_a, self.t.text_b
+            signs = [list(map(text.__getitem__, (2 * ids + np.append(of[1:] != of[:-1], True)).tolist())) for text, ids, of in (
+                (shown[0], a, ga), (shown[1], b, gb))]
+            at_a, at_b = np.cumsum(na), np.cumsum(nb)
+            flat = np.empty(len(a) + len(b), object)
+            flat[np.arange(len(a)) + (at_b - nb)[ga]] = signs[0]
+            flat[np.arange(len(b)) + at_a[gb]] = signs[1]
+            places = (cut[0] + cut[1]).tolist()
+            flat = flat.tolist()
+            for n, i in enumerate(some):
+                texts[i] = "".join(flat[places[n]:places[n + 1]])
+            of = np.array(some)[np.searchsorted(cut[2], g, side="right") - 1]
+            key, inverse = np.unique(of * (len(self.t.bytes_a) * self.wide) + la * self.wide + lb, return_inverse=True)
+            times = np.bincount(inverse, weights=times, minlength=len(key)).astype(np.int64)
+            of, codes = np.divmod(key, len(self.t.bytes_a) * self.wide)
+        self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
+        self.chars += sum(map(len, units))
+        self.texts += texts
+        self.counts, self.used = np.concatenate([self.counts, counts]), np.concatenate([self.used, np.zeros(len(units), np.int64)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.bincount(of, minlength=len(units)))])
+        self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
+
+    def documents(self, texts: list[str]):
+        """Per text its four counts, the text of its groups, and its distinct links with their times; all empty if a unit is not given back."""
+        if self.chars > KEPT_CHARS or len(self.known) > KEPT_UNITS:
+            self.forget()
+        cut = [self.cut(x) if x else [] for x in texts]
+        if new := [u for u in dict.fromkeys(u for units in cut for u in units) if u not in self.known]:
+            self.learn(new)
+        units = [list(map(self.known.__getitem__, x)) for x in cut]
+        sizes = [len(x) for x in units]
+        every = np.fromiter((u for x in units for u in x), np.int64, sum(sizes))
+        self.used += np.bincount(every, minlength=len(self.used))
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        good = np.ones(len(texts), bool)
+        good[doc[self.counts[every, 0] < 0]] = False
+        doc, every = doc[good[doc]], every[good[doc]]
+        counts = np.stack([np.bincount(doc, self.counts[every, k], len(texts)).astype(np.int64) for k in range(4)], 1)
+        n = len(self.known)
+        key, often = np.unique(doc * n + every, return_counts=True)
+        doc, unit = np.divmod(key, max(n, 1))
+        many = self.starts[unit + 1] - self.starts[unit]
+        at = np.arange(int(many.sum())) + np.repeat(self.starts[unit] - np.cumsum(many) + many, many)
+        span = len(self.t.bytes_a) * self.wide
+        code, inverse = np.unique(np.repeat(doc, many) * span + self.codes[at], return_inverse=True)
+        times = np.bincount(inverse, self.times[at] * np.repeat(often, many), len(code)).astype(np.int64)
+        doc, code = np.divmod(code, span)
+        bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
+        for i in range(len(texts)):
+            text = "".join(map(self.texts.__getitem__, units[i]))[:-1] if good[i] else ""
+            yield counts[i].tolist(), text, code[bounds[i]:bounds[i + 1]], times[bounds[i]:bounds[i + 1]]
+
+
+_UNITS: dict[tuple[str, str], Units] = {}
 _ROW = ("batch long, _key string, n_a long, n_b long, n_groups long, n_links long, groups string, groups_sha256 string, "
         "at binary, times binary, a binary, b binary, docs binary")
 
@@ -159,8 +277,10 @@ def linked(rows: DataFrame, path_a: str, path_b: str, groups: bool = False) -> D
         import hashlib
 
         from pyspark import TaskContext
-        t = Tokenizers(path_a, path_b)
-        wide = len(t.bytes_b)
+        if (path_a, path_b) not in _UNITS:  # a worker's next tasks go on with them
+            _UNITS[path_a, path_b] = Units(Tokenizers(path_a, path_b))
+        known = _UNITS[path_a, path_b]
+        wide = known.wide
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def send():
@@ -177,7 +297,7 @@ def linked(rows: DataFrame, path_a: str, path_b: str, groups: bool = False) -> D
             for i, (key, counts, text, sha, _, times) in enumerate(held):
                 mine = at[bounds[i]:bounds[i + 1]]
                 by = np.argsort(mine)
-                out.append([number, key, *counts, text, sha, mine[by].tobytes(), times[by].astype(np.uint32).tobytes(), None, None, None])
+                out.append([number, key, *counts, text, sha, mine[by].tobytes(), times[by].tobytes(), None, None, None])
             out.append([number, None, None, None, None, None, None, None, None, None, (distinct // wide).astype(np.int32).tobytes(),
                         (distinct % wide).astype(np.int32).tobytes(), docs.astype(np.int32).tobytes()])
             return [pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out[i:i + 1000]), types)], names) for i in range(0, len(out), 1000)]
@@ -187,33 +307,9 @@ def linked(rows: DataFrame, path_a: str, path_b: str, groups: bool = False) -> D
             keys = batch.column("_key").to_pylist()
             for first, last in document_chunks(at, CHUNK_BYTES):
                 texts = [bytes(raw[at[i]:at[i + 1]]).decode("utf-8", "surrogatepass") for i in range(first, last)]
-                done = list(t.encode(texts))
-                some = [i for i, x in enumerate(done) if x is not None]
-                base = np.concatenate([[0], np.cumsum([done[i][1][-1] for i in some])]).astype(np.int64)
-                a, ea, b, eb = (np.concatenate([done[i][k] + (base[n] if k % 2 else 0) for n, i in enumerate(some)]) if some
-                                else np.zeros(0, np.int64) for k in range(4))
-                ga, gb, na, nb, (g, la, lb, times) = links(a, ea, b, eb)
-                ends = base[1:]
-                doc_of = np.searchsorted(ends, ea[np.searchsorted(ga, np.arange(len(na)))]) if len(na) else np.zeros(0, np.int64)
-                code = (doc_of[g] * len(t.bytes_a) + la) * wide + lb
-                code, inverse = np.unique(code, return_inverse=True)
-                times = np.bincount(inverse, weights=times, minlength=len(code)).astype(np.int64)
-                doc = code // (len(t.bytes_a) * wide)
-                code %= len(t.bytes_a) * wide
-                bounds = [np.searchsorted(x, np.arange(len(some) + 1)) for x in (doc, doc_of)]
-                cut_a, cut_b = (np.concatenate([[0], np.searchsorted(e, ends, side="right")]) for e in (ea, eb))
-                place = {i: n for n, i in enumerate(some)}
-                for i in range(last - first):
-                    n = place.get(i)
-                    if n is None:
-                        held.append((keys[first + i], (0, 0, 0, 0), "" if groups else None, "", code[:0], times[:0]))
-                        continue
-                    x, y, u, v = cut_a[n], cut_a[n + 1], cut_b[n], cut_b[n + 1]
-                    low, high = bounds[1][n], bounds[1][n + 1]
-                    text = group_text(t, a[x:y], b[u:v], ga[x:y] - low, gb[u:v] - low, na[low:high], nb[low:high])
-                    p, q = bounds[0][n], bounds[0][n + 1]
-                    held.append((keys[first + i], (int(y - x), int(v - u), int(high - low), int((na[low:high] * nb[low:high]).sum())),
-                                 text if groups else None, hashlib.sha256(text.encode()).hexdigest(), code[p:q], times[p:q]))
+                for key, (counts, text, codes, times) in zip(keys[first:last], known.documents(texts)):
+                    sha = hashlib.sha256(text.encode()).hexdigest() if text else ""
+                    held.append((key, counts, text if groups else None, sha, codes, times.astype(np.uint32)))
                 size += int(at[last] - at[first])
                 if size >= BATCH_BYTES:
                     yield from send()

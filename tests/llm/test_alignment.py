@@ -71,7 +71,7 @@ def test_small_batches_and_dense_groups(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(TRICKY * 2 + ["the cat sat", None, ""])]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert found(A.align(docs, *PATHS)[0]) == [w[:-1] for w in plain(rows)[0]]
-    a, ea, b, eb = next(T.encode(["a" * 300 + " of 漢字 " * 20]))
+    _, (a, ea, _), (b, eb, _) = T.encode(["a" * 300 + " of 漢字 " * 20])
     sparse = A.links(a, ea, b, eb)[-1]
     monkeypatch.setattr(A, "DENSE_LINKS", 0)
     dense = A.links(a, ea, b, eb)[-1]
@@ -83,12 +83,31 @@ def test_small_batches_and_dense_groups(spark, monkeypatch):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(min_size=1, max_size=60))
-def test_refined_cuts_are_those_of_the_bytes(text):
-    for found in T.encode([text.encode("utf-8", "replace").decode()]):
-        if found is not None:
-            for ids, ends, size in ((found[0], found[1], T.size_a), (found[2], found[3], T.size_b)):
-                assert ends.tolist() == np.cumsum(size[ids]).tolist()
+@given(st.lists(st.text(min_size=1, max_size=60), min_size=1, max_size=4))
+def test_refined_cuts_are_those_of_the_bytes(texts):
+    texts = [t.encode("utf-8", "replace").decode() for t in texts]
+    some, *found = T.encode(texts)
+    for (ids, ends, n), size in zip(found, (T.size_a, T.size_b)):
+        assert ends.tolist() == np.cumsum(size[ids]).tolist() and len(n) == len(some) and n.sum() == len(ids)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab '1.é漢🙂\n\t\u00a0\u2003\x1c▁ "), max_size=30))
+def test_units_give_the_tokens_of_the_whole_text(text):
+    (counts, got, _, _), = A.Units(T).documents([text])
+    gs = plain_groups(text)
+    assert got == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in gs)
+    assert counts == [sum(len(a) for a, _ in gs), sum(len(b) for _, b in gs), len(gs), sum(len(a) * len(b) for a, b in gs)]
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(A, "KEPT_UNITS", 12)
+    units, texts = A.Units(T), ["the cat sat on the mat"] * 3 + TRICKY + [f"w{i} of the cat é{i}" for i in range(40)]
+    for some in (texts[i:i + 4] for i in range(0, len(texts), 4)):
+        for text, (counts, got, codes, times) in zip(some, units.documents(some)):
+            whole, = A.Units(T).documents([text])
+            assert counts == whole[0] and got == whole[1] and codes.tolist() == whole[2].tolist() and times.tolist() == whole[3].tolist()
+    assert "the" in units.known and len(units.known) < 40
 
 
 def test_empty_table(spark):
