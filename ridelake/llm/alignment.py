@@ -34,6 +34,7 @@ TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_BYTES = 1 << 20       # text tokenised and linked at once; a longer text is on its own
 BATCH_BYTES = 8 << 20       # text whose pairs are counted together before they are sent
 KEPT_CHARS, KEPT_UNITS = 8 << 20, 400_000  # of units a worker remembers; then those met once go
+JOINED_UNITS = 2000         # units encoded as one text
 DENSE_LINKS = 4096          # links of a group from which on its distinct ids are paired instead of its tokens
 
 
@@ -192,31 +193,27 @@ class Units:
         return out
 
     def learn(self, units: list[str]):
-        """Tokenise and link units not known yet."""
-        some, (a, ea, n_a), (b, eb, n_b) = self.t.encode(units)
+        """Tokenise and link units not known yet: many as one text, which is cut into them again."""
         counts, texts = np.tile(np.array([[-1, 0, 0, 0]]), (len(units), 1)), [""] * len(units)
-        codes = times = of = np.zeros(0, np.int64)
-        if some:
-            ends = ea[np.cumsum(n_a) - 1]
-            ga, gb, na, nb, (g, la, lb, times) = links(a, ea, b, eb)
-            cut = [np.concatenate([[0], x]) for x in (np.cumsum(n_a), np.cumsum(n_b), ga[np.cumsum(n_a) - 1] + 1)]
-            bounds = np.concatenate([[0], np.cumsum(na * nb)])
-            counts[some] = np.stack([np.diff(cut[0]), np.diff(cut[1]), np.diff(cut[2]), np.diff(bounds[cut[2]])], 1)
-            shown = self.t.text_a, self.t.text_b
-            signs = [list(map(text.__getitem__, (2 * ids + np.append(of[1:] != of[:-1], True)).tolist())) for text, ids, of in (
-                (shown[0], a, ga), (shown[1], b, gb))]
-            at_a, at_b = np.cumsum(na), np.cumsum(nb)
-            flat = np.empty(len(a) + len(b), object)
-            flat[np.arange(len(a)) + (at_b - nb)[ga]] = signs[0]
-            flat[np.arange(len(b)) + at_a[gb]] = signs[1]
-            places = (cut[0] + cut[1]).tolist()
-            flat = flat.tolist()
-            for n, i in enumerate(some):
-                texts[i] = "".join(flat[places[n]:places[n + 1]])
-            of = np.array(some)[np.searchsorted(cut[2], g, side="right") - 1]
-            key, inverse = np.unique(of * (len(self.t.bytes_a) * self.wide) + la * self.wide + lb, return_inverse=True)
-            times = np.bincount(inverse, weights=times, minlength=len(key)).astype(np.int64)
-            of, codes = np.divmod(key, len(self.t.bytes_a) * self.wide)
+        joined: list[list[int]] = [[]]
+        for i, u in enumerate(units):
+            if not self.closes.get(u[-1:]):
+                joined.insert(0, [i])  # what follows might go on with it
+            else:
+                joined[-1].append(i)
+                if len(joined[-1]) == JOINED_UNITS:
+                    joined.append([])
+        parts = []
+        while joined := [g for g in joined if g]:
+            some, a, b = self.t.encode([" ".join([units[i] for i in g]) for g in joined])
+            of = [i for n in some for i in joined[n]]
+            if of:
+                parts.append(self._linked(of, [units[i] for i in of], a[0], a[1], b[0], b[1], counts, texts))
+            good = set(some)
+            joined = [[i] for n, g in enumerate(joined) if n not in good and len(g) > 1 for i in g]
+        of, codes, times = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(of, kind="stable")
+        of, codes, times = of[order], codes[order], times[order]
         self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
         self.chars += sum(map(len, units))
         self.texts += texts
@@ -224,6 +221,27 @@ class Units:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.bincount(of, minlength=len(units)))])
         self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
 
+    def _linked(self, of, units, a, ea, b, eb, counts, texts):
+        """Fill in ``counts`` and ``texts`` of the units numbered ``of`` that make up the tokens; their links as (of, code, times)."""
+        ends = np.cumsum([1 + len(u.encode()) for u in units])
+        ga, gb, na, nb, (g, la, lb, times) = links(a, ea, b, eb)
+        until_a, until_b = np.searchsorted(ea, ends, side="right"), np.searchsorted(eb, ends, side="right")
+        cut = [np.concatenate([[0], x]) for x in (until_a, until_b, ga[until_a - 1] + 1)]
+        bounds = np.concatenate([[0], np.cumsum(na * nb)])
+        counts[of] = np.stack([np.diff(cut[0]), np.diff(cut[1]), np.diff(cut[2]), np.diff(bounds[cut[2]])], 1)
+        flat = np.empty(len(a) + len(b), object)  # every id with the sign that follows it
+        for ids, group, before, text in ((a, ga, np.cumsum(nb) - nb, self.t.text_a), (b, gb, np.cumsum(na), self.t.text_b)):
+            last = np.append(group[1:] != group[:-1], True)
+            flat[np.arange(len(ids)) + before[group]] = list(map(text.__getitem__, (2 * ids + last).tolist()))
+        flat, places = flat.tolist(), (cut[0] + cut[1]).tolist()
+        for n, i in enumerate(of):
+            texts[i] = "".join(flat[places[n]:places[n + 1]])
+        span = len(self.t.bytes_a) * self.wide
+        unit = np.array(of)[np.searchsorted(cut[2], g, side="right") - 1]
+        key, inverse = np.unique(unit * span + la * self.wide + lb, return_inverse=True)
+        times = np.bincount(inverse, times, len(key)).astype(np.int64)
+        return key // span, key % span, times
+
     def documents(self, texts: list[str]):
         """Per text its four counts, the text of its groups, and its distinct links with their times; all empty if a unit is not given back."""
         if self.chars > KEPT_CHARS or len(self.known) > KEPT_UNITS:
