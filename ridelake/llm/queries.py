@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import alignment, bpe, chat, decontaminate, fingerprints, language, lm_score, manifest, near_dup, oracles, repeats, secret_scan, warc
+from . import alignment, bpe, chat, decontaminate, fingerprints, language, lm_score, manifest, near_dup, oracles, repeats, secret_scan, topk, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,13 @@ def q_repeats(spark, sf_dir):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op11_segment_topk", oracles.TOP_K)
+def q_topk(spark, sf_dir):
+    """The five highest inner products of every fiftieth vector against all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 @register("op12_token_alignment")
 def q_alignment(spark, sf_dir):
     """Tokens of two tokenizers aligned in every document, with corpus-wide counts of the linked ids."""
