@@ -1,20 +1,23 @@
-"""Zone segmentation with MLlib k-means (ML1, ML1b, ML2, A13).
+"""Zone segmentation by k-means (ML1, ML1b, ML2, A13).
 
 The input is the zone feature table: one row per pickup zone, so its size
 is bounded by the zone catalogue (a few hundred rows) whatever the trip
-volume. Fits run as MLlib jobs; the elbow's independent fits are submitted
-concurrently from a thread pool so they share the executors.
+volume. MLlib scales the features. The fits are Lloyd rounds over all runs (every k
+and restart) at once: one pass over the points, one grouped sum. Points are whole
+numbers, so sums are exact, and starts and ties are settled by value and zone:
+any layout, and any other engine, comes to the same clusters.
 """
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contracts as C
@@ -23,7 +26,6 @@ from ..functions.numeric import round_half_up
 from .features import ZONE_FEATURES
 
 MAX_ITER = 300
-TOL = 1e-4
 
 # Zone profile names.
 PROFILE_AIRPORT = "Aeropuertos"
@@ -56,71 +58,159 @@ def zone_scaled(features: DataFrame) -> DataFrame:
     return s.select("location_id", *[F.col("z")[i].alias(f"z_{c}") for i, c in enumerate(ZONE_FEATURES)])
 
 
-def _fit(data: DataFrame, k: int, seed: int) -> KMeansModel:
-    # random starts: with a few hundred zones the passes of the parallel start cost more than the iterations they save
-    return KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=TOL, initMode="random", featuresCol="features").fit(data)
+# Orders along which starts are picked, over the scaled features 0 to 5 in whole units: every feature,
+# their sum, their squared length and two contrasts. A restart takes one order each.
+STARTS: tuple[Callable[[Callable[[int], Column]], Column], ...] = (
+    *(lambda z, i=i: z(i) for i in range(len(ZONE_FEATURES))),
+    lambda z: sum((z(i) for i in range(1, len(ZONE_FEATURES))), z(0)),
+    lambda z: sum((z(i) * z(i) for i in range(1, len(ZONE_FEATURES))), z(0) * z(0)),
+    lambda z: z(0) - z(1),
+    lambda z: z(2) - z(5),
+)
+# Scaled values are rounded to whole units of this: sums over points are then exact, whatever their order.
+UNIT = 1e-6
 
 
-def best_fit(data: DataFrame, k: int, restarts: int = C.ELBOW_RESTARTS, seed: int = C.SEED,
-             pool: ThreadPoolExecutor | None = None) -> KMeansModel:
-    """Lowest-cost model of ``restarts`` fits with seeds ``seed .. seed + restarts - 1``."""
-    seeds = [seed + r for r in range(restarts)]
-    if pool is None:
-        models = [_fit(data, k, s) for s in seeds]
-    else:
-        models = list(pool.map(lambda s: _fit(data, k, s), seeds))
-    return min(models, key=lambda m: m.summary.trainingCost)
+ROWS_PER_PARTITION = 50_000
 
 
-# Rows per partition of the scaled feature table that the k-means fits iterate over.
-ROWS_PER_PARTITION = 50_000
+def points(features: DataFrame) -> DataFrame:
+    """``location_id`` and the scaled features ``z`` in whole units, checkpointed once, a partition per ``ROWS_PER_PARTITION`` rows."""
+    checkpoint_root(features.sparkSession)
+    features = features.checkpoint(eager=True)
+    z = F.transform(vector_to_array("features"), lambda v: F.round(v / UNIT).cast("long"))
+    parts = max(1, math.ceil(features.count() / ROWS_PER_PARTITION))
+    return scale(features).select("location_id", z.alias("z")).coalesce(parts).checkpoint(eager=True)
 
 
-def _prepared(features: DataFrame) -> tuple[DataFrame, int]:
-    """Scaled features, partitioned by size and cached for the repeated fits.
+def start_points(data: DataFrame, ks, restarts: int) -> dict[tuple[int, int], np.ndarray]:
+    """Per (k, restart) ``k`` points: along the restart's order, the middle one of each of ``k`` equal shares, ties by zone.
 
-    The feature table is first checkpointed into the shared checkpoint folder:
-    its lineage (an aggregation over all of silver) is cut once, so the scaler
-    fit, the scaling and the cache all read the checkpoint, and a cached block
-    lost with an executor is rebuilt from it instead of from silver. The
-    partition count follows the row count (one partition per
-    ``ROWS_PER_PARTITION`` rows): the catalogue-bounded zone table becomes one
-    partition, so each of the many k-means iterations is one task instead of
-    one per shuffle partition, while a larger table still spreads out.
+    The ranks are windows over the whole table, which holds a row per zone of the catalogue.
     """
-    checkpoint_root(features.sparkSession)
-    data = scale(features.checkpoint(eager=True))
-    n = data.count()
-    return data.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION))).cache(), n
-
-
-def kmeans_elbow(features: DataFrame, ks=C.ELBOW_K, restarts: int = C.ELBOW_RESTARTS,
-                 seed: int = C.SEED, threads: int = 8) -> DataFrame:
-    """ML1b: best inertia per k over ``restarts`` seeded fits."""
-    data, n = _prepared(features)
-    spark = features.sparkSession
-    jobs = [(k, seed + r) for k in ks for r in range(restarts)]
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        costs = list(pool.map(lambda kr: (kr[0], _fit(data, kr[0], kr[1]).summary.trainingCost), jobs))
-    data.unpersist()
-    best: dict[int, float] = {}
-    for k, cost in costs:
-        best[k] = min(cost, best.get(k, float("inf")))
-    rows = [(k, float(c), float(c) * n / (n - 1) if n > 1 else float(c)) for k, c in sorted(best.items())]
-    return spark.createDataFrame(rows, "k int, inercia double, inercia_pob double")
-
-
-def assign_clusters(features: DataFrame, k: int = C.N_CLUSTERS, restarts: int = C.ELBOW_RESTARTS,
-                    seed: int = C.SEED, threads: int = 8) -> DataFrame:
-    """ML2 (first half): best-of-restarts k-means assignment, column ``prediction``."""
-    data, _ = _prepared(features)
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        model = best_fit(data, k, restarts, seed, pool)
-    out = model.transform(data).drop("features").checkpoint(eager=True)
-    data.unpersist()
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    ranks = [F.row_number().over(Window.orderBy(order(lambda i: F.col("z")[i]), "location_id")) - 1 for order in STARTS[:restarts]]
+    ranked = data.select("z", n.alias("n"), F.array(*ranks).alias("ranks")).select("z", "n", F.posexplode("ranks").alias("restart", "rank"))
+    middle = F.floor((2 * F.col("j") + 1) * F.col("n") / (2 * F.col("k")))
+    wanted = ranked.withColumn("k", F.explode(F.array(*map(F.lit, ks)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = wanted.filter(F.col("rank") == middle).select("k", "restart", "j", "z").collect()  # k starts of every run
+    out: dict[tuple[int, int], list] = {}
+    for r in sorted(rows, key=lambda r: (r.k, r.restart, r.j)):
+        out.setdefault((r.k, r.restart), []).append(r.z)
+    return {run: np.array(z, float) for run, z in out.items()}
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and squared distance of each point's nearest centre, the first of equals; summed feature by feature."""
+    d = (x[:, None, 0] - centres[None, :, 0]) ** 2
+    for i in range(1, x.shape[1]):
+        d = d + (x[:, None, i] - centres[None, :, i]) ** 2
+    at = d.argmin(1)
+    return at, d[np.arange(len(x)), at]
+
+
+def _sums(x: np.ndarray, runs: dict) -> list[tuple]:
+    """Per run and centre of these points: how many, their squared distances and their exact sums."""
+    out = []
+    for (k, restart), centres in runs.items():
+        at, d = _nearest(x, centres)
+        for c in np.unique(at):
+            some = at == c
+            out.append((k, restart, int(c), int(some.sum()), float(d[some].sum()), x[some].sum(0).astype(np.int64).tolist()))
+    return out
+
+
+def _points_of(batches) -> np.ndarray:
+    some = [np.stack(pdf["z"].to_numpy()).astype(float) for pdf in batches if len(pdf)]
+    return np.concatenate(some) if some else np.zeros((0, len(ZONE_FEATURES)))
+
+
+def _round(data: DataFrame, runs: dict) -> list[tuple]:
+    """One assignment of all points in every run: the centres travel with the task, a grouped sum adds what partitions send."""
+    def work(batches):
+        yield pd.DataFrame(_sums(_points_of(batches), runs), columns=["k", "restart", "c", "n", "d", "s"])
+
+    sums = [F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(len(ZONE_FEATURES))]
+    rows = data.select("z").mapInPandas(work, "k int, restart int, c int, n long, d double, s array<long>").groupBy(
+        "k", "restart", "c").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), *sums).collect()  # a row per run and centre
+    return [(*r[:5], list(r[5:])) for r in rows]
+
+
+def lloyd(step: Callable[[dict], list[tuple]], runs: dict, most_rounds: int = MAX_ITER) -> dict:
+    """Per run its centres and inertia (in squared units) once no centre moves; all runs advance in the same round.
+
+    A centre is the exact sum of its points by their number; one without points stays where it is.
+    """
+    done, moving, cost = {}, dict(runs), {}
+    for _ in range(most_rounds):
+        if not moving:
+            break
+        cost, after = dict.fromkeys(moving, 0.0), {run: c.copy() for run, c in moving.items()}
+        for k, restart, c, n, d, s in step(moving):
+            after[k, restart][c] = [v / n for v in s]
+            cost[k, restart] += d
+        for run in [run for run, c in after.items() if (c == moving[run]).all()]:
+            done[run] = after.pop(run), cost[run]
+        moving = after
+    return done | {run: (c, cost[run]) for run, c in moving.items()}
+
+
+def fit(data: DataFrame, runs: dict) -> dict:
+    """Every run's centres and inertia. Points of a single partition advance inside its task, others by a job a round: the same sums."""
+    if data.rdd.getNumPartitions() > 1:
+        return lloyd(lambda moving: _round(data, moving), runs)
+
+    def work(batches):
+        x = _points_of(batches)
+        found = lloyd(lambda moving: _sums(x, moving), runs)
+        yield pd.DataFrame([(*run, c.ravel().tolist(), d) for run, (c, d) in found.items()], columns=["k", "restart", "centres", "d"])
+
+    rows = data.select("z").mapInPandas(work, "k int, restart int, centres array<double>, d double").collect()  # a row per run
+    return {(r.k, r.restart): (np.array(r.centres).reshape(r.k, -1), r.d) for r in rows}
+
+
+def _best(found: dict) -> dict[int, tuple[int, np.ndarray, float]]:
+    """Per k the restart of least inertia (to 4 decimals; the first of equals), its centres and that inertia."""
+    out: dict[int, tuple[int, np.ndarray, float]] = {}
+    for (k, restart), (centres, cost) in sorted(found.items()):
+        cost = round(cost * UNIT ** 2, 4)
+        if k not in out or cost < out[k][2]:
+            out[k] = restart, centres, cost
     return out
 
 
+def kmeans_elbow(features: DataFrame, ks=C.ELBOW_K, restarts: int = C.ELBOW_RESTARTS) -> DataFrame:
+    """ML1b: best inertia per k over ``restarts`` fits, all of which advance together, a grouped sum per round.
+
+    ``inercia_pob`` is the inertia under scaling by the population's deviation.
+    """
+    data = points(features)
+    n = data.count()
+    best = _best(fit(data, start_points(data, ks, restarts)))
+    rows = [(k, cost, round(cost * n / (n - 1), 4) if n > 1 else cost) for k, (_, _, cost) in sorted(best.items())]
+    return features.sparkSession.createDataFrame(rows, "k int, inercia double, inercia_pob double")
+
+
+def assign_clusters(features: DataFrame, k: int = C.N_CLUSTERS, restarts: int = C.ELBOW_RESTARTS) -> DataFrame:
+    """ML2 (first half): the features with the cluster of the best fit, column ``prediction``.
+
+    Starts, sums and ties are settled by the data alone, so the result is the same for every layout.
+    """
+    data = points(features)
+    best = _best(fit(data, start_points(data, (k,), restarts)))
+    centres = best[k][1] if best else np.zeros((1, len(ZONE_FEATURES)))
+
+    def work(batches):
+        for pdf in batches:
+            if len(pdf):
+                at, _ = _nearest(np.stack(pdf["z"].to_numpy()).astype(float), centres)
+                yield pd.DataFrame({"_zone": pdf["location_id"], "prediction": at})
+
+    kind = dict(data.dtypes)["location_id"]
+    found = data.mapInPandas(work, f"_zone {kind}, prediction int")
+    return features.join(found, F.col("location_id") == F.col("_zone")).drop("_zone").checkpoint(eager=True)
+
+
 def cluster_profile(assigned: DataFrame, cluster_col: str = "prediction") -> DataFrame:
     """Mean of each feature (2 decimals) and zone count per cluster."""
     return assigned.groupBy(cluster_col).agg(

@@ -19,6 +19,37 @@ def test_zone_clusters_named_and_complete(spark):
     assert ids == [0, 1, 2, 3]
 
 
+def _plain_kmeans(z, ids, k, restart):
+    """Lloyd's rounds on whole numbers with fractions' exactness of the sums, point by point."""
+    import numpy as np
+    keys = [*range(6), lambda p: sum(p), lambda p: sum(v * v for v in p), lambda p: p[0] - p[1], lambda p: p[2] - p[5]]
+    key = keys[restart]
+    ranked = sorted(zip(z, ids), key=lambda p: ((p[0][key] if isinstance(key, int) else key(p[0])), p[1]))
+    centres = [list(map(float, ranked[(2 * j + 1) * len(z) // (2 * k)][0])) for j in range(k)]
+    while True:
+        at = [int(np.argmin([sum((a - b) ** 2 for a, b in zip(p, c)) for c in centres])) for p in z]
+        groups = [[p for p, c in zip(z, at) if c == i] for i in range(k)]
+        new = [[sum(col) / len(g) for col in zip(*g)] if g else c for g, c in zip(groups, centres)]
+        if new == centres:
+            return at, sum(sum((a - b) ** 2 for a, b in zip(p, centres[c])) for p, c in zip(z, at))
+        centres = new
+
+
+def test_rounds_equal_a_plain_kmeans_in_any_layout(spark):
+    feats = FE.cluster_input(zone_features_df(spark, SF_SMALL))
+    data = CL.points(feats)
+    rows = sorted((r.location_id, list(r.z)) for r in data.collect())
+    ids, z = [r[0] for r in rows], [r[1] for r in rows]
+    starts = CL.start_points(data, (2, 4), 10)
+    one, many = CL.fit(data, starts), CL.fit(data.repartition(3), starts)
+    for (k, restart), (centres, cost) in one.items():
+        at, plain = _plain_kmeans(z, ids, k, restart)
+        assert abs(cost - plain) <= 1e-9 * plain and (centres == many[k, restart][0]).all() and abs(cost - many[k, restart][1]) <= 1e-9 * plain
+    best = min((round(c * CL.UNIT ** 2, 4), r) for (k, r), (_, c) in one.items() if k == 4)
+    got = {r.location_id: r.prediction for r in CL.assign_clusters(feats.repartition(5)).collect()}
+    assert [got[i] for i in ids] == _plain_kmeans(z, ids, 4, best[1])[0]
+
+
 def test_forecast_shape_and_interval(spark):
     s = series_df(spark, SF_SMALL)
     fc = FC.demand_forecast(s, horizon=90)
