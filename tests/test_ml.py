@@ -118,3 +118,78 @@ def test_sample_share_is_a_parameter(spark):
     every = FE.airport_features(s, one_in=1).count()
     assert every == s.dropna(subset=["do_location_id", "trip_distance", "duracion_min", "fare_amount"]).count() > 0
     assert FE.airport_features(s, one_in=3).count() < every
+
+
+def _design(n=500, seed=4, holidays=True):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    days = np.arange(n, dtype=float) + 19000
+    t = (days - days[0]) / (n - 1)
+    X, prior = FC._regressors(t, days, True)
+    flags = (rng.random((n, 4)) < 0.02).astype(float)
+    X = np.column_stack([np.ones(n), X, flags])
+    prior = np.concatenate([[np.inf], prior, np.full(4, FC.PRIOR_HOLIDAY)])
+    laplace = np.zeros(len(prior), bool)
+    laplace[2:2 + FC.N_CHANGEPOINTS] = True
+    y = 0.4 + 0.3 * t - 0.5 * np.maximum(t - 0.5, 0) + 0.1 * np.sin(days * 2 * np.pi / 7) + flags @ [-0.2, 0, 0.1, 0] + rng.normal(0, 0.03, n)
+    return X, y, prior, laplace
+
+
+def test_laplace_prior_is_solved_exactly():
+    """At the optimum every coefficient's gradient balances its prior, and a plain proximal descent comes to the same objective."""
+    import numpy as np
+    X, y, prior, laplace = _design()
+    G, b = X.T @ X, X.T @ y
+    beta, sigma2 = FC.map_estimate(G, b, float(y @ y), len(y), prior, laplace)
+    assert abs(sigma2 - np.mean((y - X @ beta) ** 2)) < 1e-9
+    gradient = G @ beta - b
+    gaussian = gradient + sigma2 * beta / prior ** 2
+    lam = sigma2 / FC.PRIOR_CHANGEPOINT
+    assert np.abs(gaussian[~laplace]).max() < 1e-5
+    on = laplace & (beta != 0)
+    assert 0 < on.sum() < FC.N_CHANGEPOINTS / 2 and np.abs(gradient[on] + lam * np.sign(beta[on])).max() < 1e-5
+    assert np.abs(gradient[laplace & (beta == 0)]).max() <= lam + 1e-5
+
+    ridge = np.where(laplace, 0, sigma2 / prior ** 2)
+
+    def objective(x):
+        return ((y - X @ x) ** 2).sum() / 2 + (ridge * x ** 2).sum() / 2 + lam * np.abs(x[laplace]).sum()
+    x, z, step = np.zeros(len(b)), np.zeros(len(b)), 1 / np.linalg.eigvalsh(G).max()
+    for i in range(20_000):  # accelerated proximal descent over the whole design
+        new = z - step * (G @ z - b + ridge * z)
+        new[laplace] = np.sign(new[laplace]) * np.maximum(np.abs(new[laplace]) - step * lam, 0)
+        x, z = new, new + i / (i + 3) * (new - x)
+    assert abs(objective(beta) - objective(x)) < 1e-6 * objective(x) and objective(beta) <= objective(x) + 1e-9
+
+
+def test_both_designs_equal_separate_fits(spark):
+    s = FE.split_train_test(_series(spark, [("a", d, 100 + 30 * (d % 7) + d // 5) for d in range(800)]))
+    obs = s.withColumn("_train", F.col("conjunto") == "train")
+    both = FC.fit_models(obs, horizon=0, train_col="_train")
+    for model, hol in ((FC.WITHOUT_HOLIDAYS, False), (FC.WITH_HOLIDAYS, True)):
+        alone = {r.fecha: r.prediccion for r in FC.fit_predict(obs, horizon=0, use_holidays=hol, train_col="_train").collect()}
+        got = {r.fecha: r.prediccion for r in both.where(F.col("modelo") == model).collect()}
+        assert got.keys() == alone.keys() and max(abs(got[d] - alone[d]) for d in got) < 1e-6
+    m = {r.modelo: r for r in FC.compare_models(s).collect()}
+    assert set(m) == {FC.WITHOUT_HOLIDAYS, FC.WITH_HOLIDAYS} and all(0 <= r.mae <= r.rmse and r.n == 90 for r in m.values())
+
+
+def test_interval_widens_and_covers(spark):
+    """Trends that turn at random: about 95 % of the held-out days lie inside, and later days have wider intervals."""
+    import numpy as np
+    rows = []
+    for k in range(24):
+        rng = np.random.default_rng(k)
+        turns = np.zeros(900)
+        turns[rng.integers(0, 900, 28)] = rng.laplace(0, 0.05, 28) * 1000 / 900
+        level = 2000 + np.cumsum(np.cumsum(turns)) + 40 * np.sin(np.arange(900) * 2 * np.pi / 7) + rng.normal(0, 15, 900)
+        rows += [(f"s{k:02d}", d, int(v)) for d, v in enumerate(level)]
+    split = FE.split_train_test(_series(spark, rows)).withColumn("_train", F.col("conjunto") == "train")
+    fitted = FC.fit_predict(split, horizon=0, train_col="_train", yearly=False).join(
+        split.select("tipo_vehiculo", "fecha", "conjunto", "corte"), ["tipo_vehiculo", "fecha"]).where("conjunto = 'test'")
+    inside = F.col("y").between(F.col("prediccion_min"), F.col("prediccion_max")).cast("double")
+    share = fitted.agg(F.avg(inside)).first()[0]
+    width = {r.h: r.w for r in fitted.groupBy(F.ceil(F.date_diff("fecha", "corte") / 30).alias("h")).agg(
+        F.avg(F.col("prediccion_max") - F.col("prediccion_min")).alias("w")).collect()}
+    assert 0.88 <= share <= 0.995, share
+    assert width[1] < width[2] < width[3]
