@@ -10,9 +10,20 @@ from ..session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold some MB of text, not Spark's 64 MB of each row in flight, unless the session says otherwise."""
+    if spark.conf.get(_BATCH).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -25,6 +36,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     of the write go when it has ended, not when the driver next collects garbage.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     kept = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
@@ -32,7 +44,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, kept)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of staged frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(name: str = "text"):

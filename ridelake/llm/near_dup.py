@@ -7,11 +7,13 @@ far as an edit script leaves both content and order alone. Each of the
 ``SKETCHES`` sketches is a bucket key.
 
 Texts with the same words are one node. In every bucket the members are
-verified against one of them, the one met in most buckets. Components are
-formed; in a bucket that still holds several, the members outside its largest one
-are verified against those others whose one-bit minimum hashes (``BITS`` of
-them) leave a similarity of the threshold possible. So a bucket of one component costs a
-pair per member, and links between components are still found.
+verified against one of them, the first, and components are formed. A bucket that
+still holds several is split by further keys: of each of its members, the rarest
+labelled shingles, as many as two texts of the threshold similarity can't
+both do without (a fifth of them and one, in one order for all). Only members that share such a
+key are compared, those outside the key's largest component with those of the others. This
+loses no pair, so texts of few shingles (``SHORT``), which share sketches less often,
+are all compared in this way, and what many unlike texts share, being frequent, is no key.
 
 Verification aligns the shingles of two texts in order (longest common
 subsequence, without occurrence numbers), within the band that the threshold
@@ -24,17 +26,16 @@ import hashlib
 from bisect import bisect_left
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import document_chunks, staged, utf8_column, without_ids
+from .common import discard, document_chunks, staged, utf8_column, without_ids
 from .decontaminate import _cut_at_texts, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, LENGTH = 14, 3   # texts of similarity 0.8 share no bucket once in 20,000 pairs
-BITS = 2048                # one-bit minimum hashes of the second comparison
-BIT_DEVIATIONS = 3.9       # a pair of the threshold similarity differs in more bits once in 20,000 pairs
+SHORT = 32                 # texts of so few shingles are compared by their rarest ones whether they share a bucket or not
 _CHUNK = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,9 +58,13 @@ def word_shingles(words: np.ndarray) -> np.ndarray:
     return h
 
 
-def labelled_shingles(words: np.ndarray) -> np.ndarray:
-    """The same with their occurrence numbers: a set that stands for the multiset, for sampling only."""
-    h = word_shingles(words)
+def text_shingles(words: np.ndarray) -> np.ndarray:
+    """Shingles of a text's word hashes, of which the upper halves count."""
+    return word_shingles((words >> np.uint64(32)).astype(np.uint32))
+
+
+def labelled(h: np.ndarray) -> np.ndarray:
+    """Shingles with their occurrence numbers: a set that stands for the multiset, for sampling and keys."""
     n = len(h)
     if not n:
         return h
@@ -95,30 +100,6 @@ def order_sketches(shingles: np.ndarray) -> list[int]:
     return out.view(np.int64).tolist()
 
 
-_BIT_SEEDS = np.random.default_rng(12).integers(0, 1 << 32, (2, BITS), dtype=np.uint32)
-
-
-def bit_signature(shingles: np.ndarray) -> list[int]:
-    """One bit of the minimum under each of ``BITS`` hashes, in signed 64-bit words; equal bits estimate (1 + Jaccard) / 2."""
-    n = len(shingles)
-    if not n:
-        return [0] * (BITS // 64)
-    h = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.zeros(BITS, np.uint32)
-    step = max(1, min(BITS, 250_000 // n))
-    for low in range(0, BITS, step):
-        x, m = _BIT_SEEDS[0, low:low + step, None], _BIT_SEEDS[1, low:low + step, None] | np.uint32(1)
-        least[low:low + step] = ((h[None, :] ^ x) * m).min(axis=1)
-    bits = _mix(least.astype(np.uint64) * _MIX) >> np.uint64(40) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
-
-
-def most_differing_bits(threshold: float) -> int:
-    """Bits in which two texts of the threshold similarity differ at most, but for once in 20,000 pairs."""
-    mean = BITS * (1 - threshold) / 2
-    return int(mean + BIT_DEVIATIONS * (mean * (1 + threshold) / 2) ** 0.5)
-
-
 def _increasing_run(j: np.ndarray) -> int:
     """Length of the longest increasing run: the alignment of texts without repeats."""
     if (np.diff(j) > 0).all():
@@ -216,98 +197,157 @@ def _each_text(batch):
             yield h[bounds[i]:bounds[i + 1]], text[doc_at[i]:doc_at[i + 1]]
 
 
-def _node(words: np.ndarray, text: np.ndarray) -> str:
+def _node(words: np.ndarray, text: np.ndarray) -> bytes:
     """Digest of the words, or of the text where there are none."""
     source = b"w" + words.tobytes() if len(words) else b"t" + text.tobytes()
-    return hashlib.blake2b(source, digest_size=16).hexdigest()
+    return hashlib.blake2b(source, digest_size=16).digest()
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """``_key``, ``node``, ``n`` (shingles) and ``bands`` of rows (``_key``, ``_text``)."""
+    """``_key``, ``node``, ``n`` (shingles), ``bands`` and, of texts of few, the ``short`` shingles of rows (``_key``, ``_text``)."""
     import pyarrow as pa
 
     def work(batches):
         for batch in batches:
-            nodes, sizes, bands = [], [], []
+            out = []
             for words, text in _each_text(batch):
-                s = labelled_shingles(words)
-                nodes.append(_node(words, text))
-                sizes.append(len(s))
-                bands.append(order_sketches(s))
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(nodes, pa.string()), pa.array(sizes, pa.int64()),
-                                              pa.array(bands, pa.list_(pa.int64()))], ["_key", "node", "n", "bands"])
+                s = text_shingles(words)
+                out.append((_node(words, text), len(s), order_sketches(labelled(s)), s.tobytes() if 0 < len(s) <= SHORT else None))
+            columns = zip(*out) if out else ((),) * 4
+            kinds = pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), *(pa.array(x, k) for x, k in zip(columns, kinds))],
+                                             ["_key", "node", "n", "bands", "short"])
 
-    return rows.mapInArrow(work, "_key string, node string, n long, bands array<long>")
+    return rows.mapInArrow(work, "_key string, node binary, n long, bands array<long>, short binary")
 
 
 def _words_of_nodes(rows: DataFrame, wanted: DataFrame, kind: str) -> DataFrame:
-    """``node``, its 32-bit word hashes (packed) and bit signature for the rows with the wanted ids.
+    """``nid``, ``n`` and ``data``, the 32-bit word hashes, of the wanted nodes (``nid``, ``node``, ``n``, ``_first``).
 
-    Rows that share an id with a wanted one come too; their nodes are in no pair unless wanted themselves.
+    Their texts are fetched by id; whatever else has such an id is told by its node. The ids never travel
+    whole to every task, however few there are: the join is by sorting at every size.
     """
     import pyarrow as pa
 
     def work(batches):
         for batch in batches:
-            nodes, packed, bits = [], [], []
-            for words, text in _each_text(batch):
-                short = (words >> np.uint64(32)).astype(np.uint32)
-                nodes.append(_node(words, text))
-                packed.append(short.tobytes())
-                bits.append(bit_signature(labelled_shingles(short)))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(packed, pa.binary()),
-                                              pa.array(bits, pa.list_(pa.int64()))], ["node", "words", "bits"])
+            out = [(_node(words, text), (words >> np.uint64(32)).astype(np.uint32).tobytes()) for words, text in _each_text(batch)]
+            columns = zip(*out) if out else ((),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in columns], ["_digest", "data"])
+
+    ids = wanted.select(F.col("_first").alias("_wanted")).distinct().hint("merge")
+    found = rows.join(ids, F.col("_key").cast(kind).eqNullSafe(ids["_wanted"]), "left_semi")
+    found = found.select("_text").mapInArrow(work, "_digest binary, data binary")
+    return found.join(wanted.hint("merge"), F.col("_digest") == F.col("node")).groupBy("nid", "n").agg(F.first("data").alias("data"))
 
-    found = rows.join(wanted, F.col("_key").cast(kind).eqNullSafe(wanted["_wanted"]), "left_semi")
-    return found.select("_text").mapInArrow(work, "node string, words binary, bits array<long>")
 
+def _shingles_of(n: int, data: bytes) -> np.ndarray:
+    """Shingles of a node's data: they themselves, or the words of a longer text."""
+    return np.frombuffer(data, np.uint64) if n <= SHORT else word_shingles(np.frombuffer(data, np.uint32))
 
-def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (``a``, ``b``) whose texts reach the threshold."""
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` (``a``, ``b`` and others) whose texts (``nid``, ``n``, ``data``) reach the threshold."""
     import pyarrow as pa
 
     def work(batches):
         for batch in batches:
             keep, held, shingles = [], None, None
-            for x, y in zip(batch.column("wa"), batch.column("wb")):
-                x, y = x.as_py(), y.as_py()
-                if x != held:  # a hub's pairs mostly come together
-                    held, shingles = x, word_shingles(np.frombuffer(x, np.uint32))
-                keep.append(aligned_similarity(shingles, word_shingles(np.frombuffer(y, np.uint32)), threshold) >= threshold)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for key, n, x, m, y in zip(*(batch.column(c).to_pylist() for c in ("a", "na", "wa", "nb", "wb"))):
+                if key != held:  # a hub's pairs mostly come together
+                    held, shingles = key, _shingles_of(n, x)
+                keep.append(aligned_similarity(shingles, _shingles_of(m, y), threshold) >= threshold)
+            yield batch.select(pairs_columns).filter(pa.array(keep, pa.bool_()))
+
+    pairs_columns = pairs.columns
+    left, right = (texts.select(F.col("nid").alias(f"_{x}"), F.col("n").alias(f"n{x}"), F.col("data").alias(f"w{x}")) for x in "ab")
+    met = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    return met.select(*pairs_columns, "na", "wa", "nb", "wb").mapInArrow(work, pairs.schema)
+
 
-    left = words.select(F.col("node").alias("a"), F.col("words").alias("wa"))
-    right = words.select(F.col("node").alias("b"), F.col("words").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(work, "a string, b string")
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` only and no ``v`` is a ``u`` of another edge."""
+    kinds = edges.select(F.col("u").alias("x"), F.lit(1).alias("u"), F.lit(0).alias("v")).unionAll(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("u"), F.lit(1).alias("v")))
+    return kinds.groupBy("x").agg(F.sum("u").alias("u"), F.max("v").alias("v")).filter("u > 1 OR u = 1 AND v = 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for every node of the edges (``a``, ``b``).
 
     Large-star and small-star in turn until the edges are a star per component;
-    logarithmically many rounds, each written to the checkpoint folder.
+    logarithmically many rounds, each written to the checkpoint folder, the one before deleted.
     """
     edges = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "cc-edges")
-    before = None
-    while True:
+    while not _is_star_forest(edges):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.min("v").alias("_m")).select(F.col("u").alias("_u"), F.least("u", "_m").alias("_m")), "cc-least")
-        large = (both.join(least, F.col("u") == F.col("_u")).filter("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
-                 .distinct())
-        large = staged(large, "cc-large")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("_m")).select(F.col("u").alias("_u"), "_m"), "cc-least")
+        least = both.groupBy("u").agg(F.min("v").alias("_m")).select(F.col("u").alias("_u"), F.least("u", "_m").alias("_m"))
+        large = staged(both.join(least, F.col("u") == F.col("_u")).filter("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
+                       .distinct(), "cc-large")
+        least = large.groupBy("u").agg(F.min("v").alias("_m")).select(F.col("u").alias("_u"), "_m")
         small = (large.join(least, F.col("u") == F.col("_u")).select(
             F.explode(F.array(F.struct("u", F.col("_m").alias("v")), F.struct(F.col("v").alias("u"), F.col("_m").alias("v")))).alias("e"))
             .select("e.u", "e.v").filter("u <> v").distinct())
-        edges = staged(small, "cc-small")
-        after = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if after == before:
-            break
-        before = after
+        before, edges = edges, staged(small, "cc-small")
+        discard(before, large)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _rooted(df: DataFrame, roots: DataFrame, column: str = "nid") -> DataFrame:
+    """``df`` with the ``root`` of its ``column``, or that itself."""
+    known = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return df.join(known, F.col(column) == F.col("_node"), "left").withColumn("root", F.coalesce("_root", column)).drop("_node", "_root")
+
+
+def shingle_rows(nodes: DataFrame) -> DataFrame:
+    """``nid``, ``root``, ``n`` and each labelled shingle ``s`` of nodes with their ``data``."""
+    import pyarrow as pa
+
+    def work(batches):
+        for batch in batches:
+            for nid, root, n, data in zip(*(batch.column(c).to_pylist() for c in ("nid", "root", "n", "data"))):
+                s = labelled(_shingles_of(n, data)).view(np.int64)
+                for i in range(0, len(s), 1 << 16):
+                    k = len(s[i:i + (1 << 16)])
+                    yield pa.RecordBatch.from_arrays([*(pa.array(np.full(k, v, np.int64)) for v in (nid, root, n)), pa.array(s[i:i + (1 << 16)])],
+                                                     ["nid", "root", "n", "s"])
+
+    return nodes.select("nid", "root", "n", "data").mapInArrow(work, "nid long, root long, n long, s long")
+
+
+def _fits(a: str, b: str, threshold: float):
+    """Whether the numbers of shingles leave the threshold possible."""
+    return F.least(a, b) >= threshold * F.greatest(a, b)
+
+
+def pairs_by_rare_shingles(nodes: DataFrame, threshold: float) -> DataFrame | None:
+    """Every pair (``a``, ``b`` of roots ``ra``, ``rb``) of these nodes that may reach the threshold and is of two components.
+
+    Texts of similarity ``t`` have at least ``t n`` of either one's ``n`` labelled shingles in common; so, in one
+    order of all shingles, they share one among the first ``n - t n + 1`` of each. The order is by frequency, rarest first.
+    None where no shingle is shared by two components.
+    """
+    rows = shingle_rows(nodes)
+    shared = staged(rows.groupBy("s").agg(F.count("*").alias("often"), (F.min("root") != F.max("root")).alias("mixed"))
+                    .filter("often > 1").withColumnRenamed("s", "_s"), "shared-shingles")
+    if shared.filter("mixed").isEmpty():
+        return None
+    of_node = Window.partitionBy("nid")
+    place = F.row_number().over(of_node.orderBy("often", "s")) + F.col("n") - F.count("*").over(of_node)  # those of one text come first
+    most = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    keys = rows.join(shared, F.col("s") == F.col("_s")).withColumn("_place", place).filter((F.col("_place") <= most) & F.col("mixed"))
+    keys = staged(keys.select("s", "nid", "root", "n"), "rare-shingles")
+    split = keys.groupBy("s", "root").agg(F.count("*").alias("k")).groupBy("s").agg(
+        F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select(
+        F.col("s").alias("_s"), F.col("top.root").alias("top"))
+    met = staged(keys.join(split, F.col("s") == F.col("_s")).drop("_s"), "mixed-shingles")
+    outside = met.filter("root <> top").select(F.col("s").alias("_s"), F.col("nid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    once = (F.col("root") == F.col("top")) | (F.col("a") < F.col("nid"))  # each pair once: from the smaller of two that are outside
+    more = met.join(outside, (F.col("s") == F.col("_s")) & (F.col("root") != F.col("ra")) & _fits("na", "n", threshold) & once)
+    return more.select("a", F.col("nid").alias("b"), "ra", F.col("root").alias("rb")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """One row per input row: ``id_col``, ``class_id`` (its class's smallest id), ``class_size`` (rows) and ``kept``.
 
@@ -315,68 +355,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same words (letters of a-z in either case, digits and characters beyond
     ASCII) are one class, as are texts linked by similarity of ``threshold`` or more.
     Texts without words, null (as empty) ones among them, are classed with equal
-    texts only. Texts under five words have one shingle, of all their words.
-    Rows that repeat an id and its text share one class and are all kept or all
+    texts only. Texts under five words have one shingle, of all their words; very long ones are
+    sketched and aligned whole. Rows that repeat an id and its text share one class and are all kept or all
     dropped; null ids come after all others, and a class of null ids only has class_id null and is kept.
-    An empty table gives no rows. Other columns are ignored.
+    An empty table gives no rows. Other columns are ignored, whatever their names.
     """
-    kind = dict(docs.select(id_col).dtypes)[id_col]
-    rows = docs.select(F.col(id_col).cast("string").alias("_key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    kind = dict(docs.select(docs[id_col].alias("_id")).dtypes)["_id"]
+    rows = docs.select(docs[id_col].cast("string").alias("_key"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
     sketches = staged(sketched(rows), "sketches")
 
-    # nodes: one per word sequence; buckets: only those met twice
-    ident = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").cast(kind).alias("id"))
-    nodes = sketches.groupBy("node", "n").agg(F.min(ident).alias("_first"), F.first("bands").alias("bands"))
-    bands = nodes.select("node", "n", F.col("_first.id").cast("string").alias("_key"), "bands", F.posexplode("bands").alias("i", "h")).select(
-        "node", "n", "_key", "bands", "i", F.xxhash64("i", "h").alias("band"))
-    bands = staged(bands, "bands")
-    shared = staged(bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").select(F.col("band").alias("_band"), "size"), "shared")
-    members = staged(bands.join(shared, F.col("band") == F.col("_band")).drop("_band"), "members")
-
-    # hub of a bucket: the member met most often over all buckets
-    met = staged(members.groupBy("node").agg(F.sum("size").alias("met")).select(F.col("node").alias("_node"), "met"), "met")
-    ranked = members.join(met, F.col("node") == F.col("_node"))
-    hubs = staged(ranked.groupBy("band").agg(F.max(F.struct("met", "node", "n")).alias("hub")).select(
-        F.col("band").alias("_band"), F.col("hub.node").alias("a"), F.col("hub.n").alias("na")), "hubs")
-    fits = F.least("na", "n") >= threshold * F.greatest("na", "n")  # else the sizes rule it out
-    star = staged(members.join(hubs, F.col("band") == F.col("_band")).filter((F.col("a") != F.col("node")) & fits)
-                  .select("a", F.col("node").alias("b")).distinct(), "star-pairs")
-    wanted = staged(members.select(F.col("_key").cast(kind).alias("_wanted")).distinct(), "wanted")  # ids only: least to send
-    words = staged(_words_of_nodes(rows, wanted, kind), "node-words")
-    words = staged(words.groupBy("node").agg(F.first("words").alias("words"), F.first("bits").alias("bits")), "node-words-once")
-    linked = staged(verified(star, words, threshold), "links")
+    # nodes: one per word sequence, numbered; buckets: only those met twice
+    nodes = sketches.groupBy("node").agg(F.min(F.col("_key").cast(kind)).alias("_first"), F.count("*").alias("_rows"), F.first("n").alias("n"),
+                                         F.first("bands").alias("bands"), F.first("short").alias("short"))
+    nodes = staged(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    bands = nodes.select("nid", "n", F.posexplode("bands").alias("i", "h")).select("nid", "n", F.xxhash64("i", "h").alias("band"))
+    hubs = bands.groupBy("band").agg(F.min("nid").alias("hub"), F.count("*").alias("size")).filter("size > 1")
+    members = staged(bands.join(hubs.select(F.col("band").alias("_band"), "hub"), F.col("band") == F.col("_band")).drop("_band"), "members")
+
+    star = members.filter("nid <> hub").select(F.col("hub").alias("a"), F.col("nid").alias("b"), "n").distinct()
+    sizes = nodes.select(F.col("nid").alias("_nid"), F.col("n").alias("_n"))
+    star = staged(star.join(sizes, F.col("a") == F.col("_nid")).filter(_fits("n", "_n", threshold)).select("a", "b"), "star-pairs")
+    wanted = members.filter(F.col("n") > SHORT).select(F.col("nid").alias("_nid")).distinct()
+    wanted = staged(nodes.select("nid", "node", "n", "_first").join(wanted, F.col("nid") == F.col("_nid")).drop("_nid"), "wanted")
+    long_texts = staged(_words_of_nodes(rows, wanted, kind), "node-words")
+    short_texts = nodes.filter("short IS NOT NULL").select("nid", "n", F.col("short").alias("data"))
+    texts = long_texts.unionAll(short_texts)
+    linked = staged(verified(star, texts, threshold), "links")
+    discard(star, wanted)
     roots = staged(components(linked), "roots")
 
-    # buckets of several components: whoever is outside the largest one meets the others
-    placed = staged(members.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left")
-                    .select("band", "i", "bands", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
-    parts = placed.groupBy("band", "root").agg(F.count("*").alias("k"))
-    split = staged(parts.groupBy("band").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("parts"))
-                   .filter("parts > 1").select(F.col("band").alias("_band"), F.col("top.root").alias("top")), "split-buckets")
-    bits = words.select(F.col("node").alias("_bit_node"), "bits")
-    mixed = staged(placed.join(split, F.col("band") == F.col("_band")).join(bits, F.col("node") == F.col("_bit_node"))
-                   .select("band", "i", "bands", "node", "n", "root", "top", "bits"), "mixed")
-    outside = mixed.filter("root <> top").select(F.col("band").alias("_band"), F.col("node").alias("a"), F.col("n").alias("na"),
-                                                 F.col("root").alias("ra"), F.col("bits").alias("abits"), F.col("bands").alias("abands"))
-    differing = sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("abits")[i])) for i in range(BITS // 64))
-    # each pair once: in the first bucket that both share, and from the smaller of two that are outside
-    shared_first = F.coalesce(*[F.when(F.col("bands")[i] == F.col("abands")[i], F.lit(i)) for i in range(SKETCHES)])
-    once = (shared_first == F.col("i")) & ((F.col("root") == F.col("top")) | (F.col("a") < F.col("node")))
-    more = (mixed.join(outside, (F.col("band") == F.col("_band")) & (F.col("root") != F.col("ra")) & fits & once
-                       & (differing <= most_differing_bits(threshold)))
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    known = star.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"))
-    more = staged(more.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "more-pairs")
-    every = staged(linked.unionAll(verified(more, words, threshold)), "all-links")
-    roots = staged(components(every), "final-roots")
+    # members of buckets that hold several components, and short texts, by their rarest shingles
+    placed = _rooted(members, roots)
+    mixed = placed.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo <> _hi").select(F.col("band").alias("_band"))
+    apart = placed.filter(F.col("n") > SHORT).join(mixed, F.col("band") == F.col("_band")).select(F.col("nid").alias("_nid"), "root").distinct()
+    apart = long_texts.join(apart, F.col("nid") == F.col("_nid")).drop("_nid").unionByName(_rooted(short_texts, roots))
+    more = pairs_by_rare_shingles(apart, threshold)
+    merged = None
+    if more is not None:
+        more = staged(verified(staged(more, "more-pairs"), texts, threshold), "more-links")
+        if not more.isEmpty():
+            merged = staged(components(more.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "merged-roots")
 
     # class id: smallest id over the class's nodes, joined back by digest
-    sized = sketches.groupBy("node").agg(F.min(ident).alias("_first"), F.count("*").alias("_rows"))
-    classed = staged(sized.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left")
-                     .select("node", "_first", "_rows", F.coalesce("root", "node").alias("root")), "classed")
-    ids = staged(classed.groupBy("root").agg(F.min("_first").alias("_least"), F.sum("_rows").alias("class_size"))
-                 .select(F.col("root").alias("_root"), F.col("_least.id").alias("class_id"), "class_size"), "class-ids")
-    named = staged(classed.join(ids, F.col("root") == F.col("_root")).select(F.col("node").alias("_node"), "class_id", "class_size"), "named")
+    classed = _rooted(nodes.select("nid", "node", "_first", "_rows"), roots)
+    if merged is not None:
+        classed = _rooted(classed.withColumnRenamed("root", "_before"), merged, "_before")
+    classed = staged(classed.select("node", "_first", "_rows", "root"), "classed")
+    discard(members, long_texts, linked, roots, nodes)
+    ids = classed.groupBy("root").agg(F.min("_first").alias("class_id"), F.sum("_rows").alias("class_size")).withColumnRenamed("root", "_root")
+    named = classed.join(ids, F.col("root") == F.col("_root")).select(F.col("node").alias("_node"), "class_id", "class_size")
     back = sketches.join(named, F.col("node") == F.col("_node"))
     own = F.col("_key").cast(kind)
     return back.select(own.alias(id_col), "class_id", "class_size", own.eqNullSafe(F.col("class_id")).alias("kept"))

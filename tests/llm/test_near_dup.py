@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from cases import WORDS, empty_docs, odd_docs, odd_rows, prose
@@ -16,17 +17,13 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-def labelled(text):
-    w, seen, out = words(text), {}, []
-    for i in range(max(1, len(w) - 4) if w else 0):
-        s = tuple(w[i:i + 5])
-        seen[s] = seen.get(s, 0) + 1
-        out.append((s, seen[s]))
-    return out
+def unlabelled(text):
+    w = words(text)
+    return [tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4) if w else 0)]
 
 
 def similarity(a, b):
-    """In-order alignment of labelled shingles by the full dynamic programme."""
+    """In-order alignment of shingles by the full dynamic programme."""
     if not a or not b:
         return 0.0
     row = [0] * (len(b) + 1)
@@ -40,7 +37,8 @@ def similarity(a, b):
 
 def plain_classes(rows):
     """Smallest id of the class of each row, by all pairs."""
-    lab = [labelled(t) for _, t in rows]
+    lab = [unlabelled(t) for _, t in rows]
+    bags = [Counter(x) for x in lab]
     root = list(range(len(rows)))
 
     def find(i):
@@ -51,7 +49,7 @@ def plain_classes(rows):
     for i in range(len(rows)):
         for j in range(i):
             equal = words(rows[i][1]) == words(rows[j][1]) and (lab[i] or (rows[i][1] or "") == (rows[j][1] or ""))
-            quick = len(set(lab[i]) & set(lab[j])) >= 0.8 * len(set(lab[i]) | set(lab[j]))
+            quick = (bags[i] & bags[j]).total() >= 0.8 * (bags[i] | bags[j]).total()
             if equal or lab[i] and quick and similarity(lab[i], lab[j]) >= 0.8:
                 root[find(i)] = find(j)
     out = {}
@@ -118,40 +116,12 @@ def test_stage_keeps_one_of_each(spark):
     assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == {1, 2, None}
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from("abcd"), max_size=60), st.lists(st.sampled_from("abcd"), max_size=8), st.integers(0, 60))
-def test_alignment(a, new, at):
-    b = a[:at] + new + a[at + len(new) // 2:]
-    x, y = " ".join(a), " ".join(b)
-    want = similarity(labelled(x), labelled(y))
-    ids = {w: i + 1 for i, w in enumerate("abcd")}
-    have = N.aligned_similarity(*(N.labelled_shingles(np.array([ids[w] for w in t.split()], np.uint64)) for t in (x, y)))
-    assert have == want if want >= 0.8 else have < 0.8
-
-
-def test_bits_follow_similarity():
-    rng = np.random.default_rng(5)
-    for share in (0.8, 0.6, 0.4):
-        n = 400
-        both = round(2 * n * share / (1 + share))
-        x = rng.integers(1, 1 << 63, 2 * n, dtype=np.uint64)
-        a, b = N.bit_signature(x[:n]), N.bit_signature(np.concatenate([x[n - both:n], x[n:2 * n - both]]))
-        differ = sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(a, b))
-        assert abs(differ - N.BITS * (1 - share) / 2) < 60
-        assert (differ <= N.most_differing_bits(0.8)) == (share == 0.8)
-
-
 def test_components_of_a_long_chain(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(60)] + [("x", "y"), ("y", "z"), ("x", "z")]
     have = {r["node"]: r["root"] for r in N.components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert have == {f"{i:03}": "000" for i in range(61)} | {"x": "x", "y": "x", "z": "x"}
 
 
-def unlabelled(text):
-    w = words(text)
-    return [tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4) if w else 0)]
-
-
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("ab"), max_size=70), st.lists(st.sampled_from("abc"), max_size=8), st.integers(0, 70), st.integers(1, 3))
 def test_alignment_of_repeated_shingles(a, new, at, times):
@@ -175,6 +145,40 @@ def test_repeated_lines_survive_an_early_edit(spark):
     line = varied(12, 70)
     text = "\n".join(f"{line}\n{varied(9, 80 + i)}" for i in range(12))
     less = text.split(" ", 10)[10]  # the first ten words dropped: the line's copies change their numbers
-    assert N.aligned_similarity(*(N.labelled_shingles(np.array([hash(w) & 0xFFFFFFFF for w in words(t)], np.uint64)) for t in (text, less))) < 0.8
+    assert N.aligned_similarity(*(N.labelled(N.word_shingles(np.array([hash(w) & 0xFFFFFFFF for w in words(t)], np.uint64))) for t in (text, less))) < 0.8
     rows = [(1, text), (2, less), (3, varied(250, 99))]
     assert {k: c for k, c, _ in got(spark.createDataFrame(rows, "doc_id long, text string"))} == {1: 1, 2: 1, 3: 3}
+
+
+def test_short_texts_are_compared_exactly(spark):
+    """Texts of 2 to 40 words with one or two edits: every link of all pairs is found."""
+    rows, k = [], 0
+    for n in list(range(2, 41)) * 3:
+        base = varied(n, 9000 + k)
+        for e in range(3):
+            w = base.split(" ")
+            if e and n > 1:
+                w[-1 if e == 1 else 0] += "z"
+            rows.append((k, " ".join(w + ["end"] * (e == 2))))
+            k += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(df) == plain_classes(rows)
+
+
+def test_recall_of_the_sketches_by_length():
+    """Share of pairs of similarity 0.8 to 0.9 that share a bucket, for texts that only sketches bring together."""
+    for n in (40, 80, 200, 600):
+        met = total = 0
+        for seed in range(250):
+            rng = np.random.default_rng(seed * 1000 + n)
+            a = rng.integers(0, 1 << 62, n + 4).astype(np.uint64)
+            if seed % 2 and n >= 80:  # words changed here and there, or a piece cut off: 0.8 to 0.9 is left
+                b = a.copy()
+                b[rng.choice(n - 8, n // 50, replace=False) + 4] = rng.integers(0, 1 << 62, n // 50)
+            else:
+                b = a[int(n * rng.uniform(0.1, 0.199)):]
+            x, y = N.text_shingles(a << np.uint64(2)), N.text_shingles(b << np.uint64(2))
+            if N.aligned_similarity(x, y):
+                total += 1
+                met += bool(set(zip(range(14), N.order_sketches(N.labelled(x)))) & set(zip(range(14), N.order_sketches(N.labelled(y)))))
+        assert total > 150 and met / total >= 0.99, (n, met, total)
