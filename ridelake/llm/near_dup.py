@@ -7,7 +7,7 @@ far as an edit script leaves both content and order alone. Each of the
 ``SKETCHES`` sketches is a bucket key.
 
 Texts with the same words are one node. In every bucket the members are
-verified against one of them, the first, and components are formed. A bucket that
+verified against two of them, the one met in most buckets and the first, and components are formed. A bucket that
 still holds several is split by further keys: of each of its members, the rarest
 labelled shingles, as many as two texts of the threshold similarity can't
 both do without (a fifth of them and one, in one order for all). Only members that share such a
@@ -326,6 +326,7 @@ def pairs_by_rare_shingles(nodes: DataFrame, threshold: float) -> DataFrame | No
 
     Texts of similarity ``t`` have at least ``t n`` of either one's ``n`` labelled shingles in common; so, in one
     order of all shingles, they share one among the first ``n - t n + 1`` of each. The order is by frequency, rarest first.
+    At the first they share, no more can be in common than the ``rest`` of either one from there on.
     None where no shingle is shared by two components.
     """
     rows = shingle_rows(nodes)
@@ -337,14 +338,16 @@ def pairs_by_rare_shingles(nodes: DataFrame, threshold: float) -> DataFrame | No
     place = F.row_number().over(of_node.orderBy("often", "s")) + F.col("n") - F.count("*").over(of_node)  # those of one text come first
     most = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
     keys = rows.join(shared, F.col("s") == F.col("_s")).withColumn("_place", place).filter((F.col("_place") <= most) & F.col("mixed"))
-    keys = staged(keys.select("s", "nid", "root", "n"), "rare-shingles")
+    keys = staged(keys.select("s", "nid", "root", "n", (F.col("n") - F.col("_place") + 1).alias("rest")), "rare-shingles")
     split = keys.groupBy("s", "root").agg(F.count("*").alias("k")).groupBy("s").agg(
         F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select(
         F.col("s").alias("_s"), F.col("top.root").alias("top"))
     met = staged(keys.join(split, F.col("s") == F.col("_s")).drop("_s"), "mixed-shingles")
-    outside = met.filter("root <> top").select(F.col("s").alias("_s"), F.col("nid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    outside = met.filter("root <> top").select(F.col("s").alias("_s"), F.col("nid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"),
+                                               F.col("rest").alias("resta"))
+    enough = F.least("rest", "resta") >= threshold / (1 + threshold) * (F.col("n") + F.col("na")) - 1e-9
     once = (F.col("root") == F.col("top")) | (F.col("a") < F.col("nid"))  # each pair once: from the smaller of two that are outside
-    more = met.join(outside, (F.col("s") == F.col("_s")) & (F.col("root") != F.col("ra")) & _fits("na", "n", threshold) & once)
+    more = met.join(outside, (F.col("s") == F.col("_s")) & (F.col("root") != F.col("ra")) & _fits("na", "n", threshold) & enough & once)
     return more.select("a", F.col("nid").alias("b"), "ra", F.col("root").alias("rb")).distinct()
 
 
@@ -369,10 +372,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                          F.first("bands").alias("bands"), F.first("short").alias("short"))
     nodes = staged(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     bands = nodes.select("nid", "n", F.posexplode("bands").alias("i", "h")).select("nid", "n", F.xxhash64("i", "h").alias("band"))
-    hubs = bands.groupBy("band").agg(F.min("nid").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    members = staged(bands.join(hubs.select(F.col("band").alias("_band"), "hub"), F.col("band") == F.col("_band")).drop("_band"), "members")
-
-    star = members.filter("nid <> hub").select(F.col("hub").alias("a"), F.col("nid").alias("b"), "n").distinct()
+    shared = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").withColumnRenamed("band", "_band")
+    members = staged(bands.join(shared, F.col("band") == F.col("_band")).drop("_band"), "members")
+
+    # hubs of a bucket: the member met most often over all buckets, mostly the text that others are edits of, and the first
+    met = members.groupBy("nid").agg(F.sum("size").alias("met")).withColumnRenamed("nid", "_nid")
+    ranked = members.join(met, F.col("nid") == F.col("_nid"))
+    hubs = ranked.groupBy("band").agg(F.max(F.struct("met", "nid")).alias("_hub"), F.min("nid").alias("_first")).select(
+        F.col("band").alias("_band"), F.array_distinct(F.array("_hub.nid", "_first")).alias("hubs"))
+    star = members.join(hubs, F.col("band") == F.col("_band")).select(F.explode("hubs").alias("a"), F.col("nid").alias("b"), "n").filter(
+        "a <> b").distinct()
     sizes = nodes.select(F.col("nid").alias("_nid"), F.col("n").alias("_n"))
     star = staged(star.join(sizes, F.col("a") == F.col("_nid")).filter(_fits("n", "_n", threshold)).select("a", "b"), "star-pairs")
     wanted = members.filter(F.col("n") > SHORT).select(F.col("nid").alias("_nid")).distinct()
