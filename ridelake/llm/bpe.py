@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE_PIECES = 1 << 19   # pieces a worker remembers; the cache is emptied when full
 CACHE_PAIRS = 1 << 20    # token pairs a worker remembers
@@ -255,6 +257,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                         listed += [int(x) for e in entries for x in e[0].split()]
                 out.append([key, count, numbers.hexdigest(), decoded.hexdigest()] + [listed] * ids)
             yield pd.DataFrame(out, columns=["_key", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids])
+        release_memory()
 
     done = rows.select(F.col(id_col).cast("string").alias("_key"), "_text").mapInPandas(
         encode, "_key string, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)

@@ -94,3 +94,13 @@ def document_chunks(offsets: np.ndarray, most: int):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1)
         yield first, last
         first = last
+
+
+def release_memory() -> None:
+    """Give back to the system what a task's batches took; the worker process lives on for other tasks."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)

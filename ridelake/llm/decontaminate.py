@@ -24,7 +24,7 @@ from .common import document_chunks, utf8_column
 WINDOW = 13              # words
 COVERAGE = 20            # a document is contaminated if at least one word in COVERAGE is hit
 BLOCK_WORDS = 2_000_000  # item words per automaton; more items are matched in further blocks
-_CHUNK = 2 << 20         # bytes hashed at a time
+_CHUNK = 1 << 19         # bytes hashed at a time
 
 # a word is a run of these bytes, after A-Z has become a-z
 _LOWER = np.arange(256, dtype=np.uint8)

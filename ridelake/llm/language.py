@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 from .common import document_chunks, staged, utf8_column
 
 BUCKETS = 1 << 16        # hashed trigram space of the text model
-SAMPLE_ROWS = 4000       # labelled rows the text model is fitted on, at most
+SAMPLE_ROWS = 2_000        # labelled rows per language that the text model is fitted on
 MAX_EFFECTIVE = 100.0    # independent trigrams a text counts as, at most
 PRIOR_STRENGTH = 20.0    # rows of parent prior mixed into a host's (and a suffix's) own counts
 MIN_POSTERIOR = 0.5      # rows below it are rejected
 POOLED_SHARE = 0.05      # weight of the model of all languages together in each language's trigram model
 UNDETERMINED = "und"
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20     # bytes of a text at a time
 
 _LETTER = np.zeros(0x110000, np.uint32)
 
@@ -58,34 +58,56 @@ def trigrams(raw: bytes) -> np.ndarray:
     return ((h ^ (h >> np.uint32(15))) >> np.uint32(3) & np.uint32(BUCKETS - 1)).astype(np.int64)[y != 32]
 
 
+def pieces(body: np.ndarray, size: int):
+    """UTF-8 text in pieces of about ``size`` bytes that overlap by two characters, so that no trigram is cut or met twice."""
+    at = 0
+    while True:
+        end = min(at + size, len(body))
+        while end < len(body) and body[end] & 0xC0 == 0x80:
+            end -= 1
+        yield body[at:end]
+        if end == len(body):
+            return
+        for _ in range(2):
+            end -= 1
+            while body[end] & 0xC0 == 0x80:
+                end -= 1
+        at = end
+
+
 def fit_text_model(df: DataFrame, id_col: str, text_col: str, label_col: str,
                    sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and the table of trigram log-probabilities, bucket x language.
 
-    Trigram counts come from at most about ``sample_rows`` labelled rows (the
-    smallest hashes of id), counted on the executors; the driver gets at most
+    The languages are all labels of the whole table, in lower case. Trigram counts come from
+    about ``sample_rows`` rows of each, all of a rarer one (by the hash of id and text; equal
+    rows once), counted on the executors; the driver gets at most
     ``BUCKETS`` sums per language. Without labelled rows there are no languages.
     """
-    hashed = df.filter(F.col(label_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col)).alias("_h"), F.col(label_col).cast("string").alias("_label"),
+    labelled = df.filter(F.col(label_col).isNotNull()).select(
+        F.lower(F.col(label_col).cast("string")).alias("_label"), F.col(id_col).cast("string").alias("_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    cut = hashed.select("_h").orderBy("_h").limit(sample_rows).agg(F.max("_h")).first()[0]
-    if cut is None:
+    rows = {r["_label"]: r["n"] for r in labelled.groupBy("_label").agg(F.count("*").alias("n")).collect()}  # a row per language
+    if not rows:
         return [], np.zeros((BUCKETS, 0), np.float32)
+    parts = 1 << 30  # of which a label's rows are in the sample
+    share = F.create_map(*[F.lit(x) for label, n in rows.items() for x in (label, min(parts, -(-parts * sample_rows // n)))])
+    sampled = labelled.withColumn("_h", F.xxhash64("_id", "_text")).filter(F.pmod("_h", F.lit(parts)) < share[F.col("_label")])
 
     def count(batches):
         for pdf in batches:
             for label, texts in pdf.groupby("_label")["_text"]:
                 c = np.zeros(BUCKETS, np.int64)
                 for t in texts:
-                    c += np.bincount(trigrams(t.encode()), minlength=BUCKETS)
+                    for piece in pieces(np.frombuffer(t.encode(), np.uint8), _CHUNK):
+                        c += np.bincount(trigrams(piece.tobytes()), minlength=BUCKETS)
                 k = np.flatnonzero(c)
                 yield pd.DataFrame({"label": label, "bucket": k, "n": c[k]})
 
-    sums = (hashed.filter(F.col("_h") <= cut).select("_label", "_text")
+    sums = (sampled.dropDuplicates(["_label", "_h"]).select("_label", "_text")
             .mapInPandas(count, "label string, bucket long, n long")
             .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    languages = sorted(sums["label"].unique())
+    languages = sorted(rows)
     counts = np.zeros((BUCKETS, len(languages)))
     counts[sums["bucket"], [languages.index(x) for x in sums["label"]]] = sums["n"]
     pooled = (counts.sum(axis=1) + 0.5) / (counts.sum() + 0.5 * BUCKETS)
@@ -108,8 +130,8 @@ def text_evidence(df: DataFrame, keep: list[str], text_col: str, model: np.ndarr
             for first, last in document_chunks(at, _CHUNK):
                 for i in range(first, last):
                     body = raw[at[i]:at[i + 1]]
-                    for p in range(0, len(body), _CHUNK):  # long texts piece by piece
-                        g = trigrams(body[p:p + _CHUNK].tobytes())
+                    for piece in pieces(body, _CHUNK):
+                        g = trigrams(piece.tobytes())
                         ll[i] += np.bincount(g, minlength=BUCKETS).astype(np.float32) @ m if len(g) > 8 * BUCKETS \
                             else m[g].sum(axis=0, dtype=np.float64)
                         n[i] += len(g)
@@ -146,7 +168,8 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str, host_
     evidence: ``text_language`` is ``und`` and the row is rejected. A null
     declaration, host or suffix gives no evidence of its own (rows without a
     host share the suffix prior). Repeated rows each count and each return.
-    Equal posteriors go to the language first in order. Without any labelled
+    Equal posteriors go to the language first in order. Labels and declarations are told apart
+    in lower case; every label is a language, however rare. Very long texts are read whole, in pieces. Without any labelled
     row every row is ``und`` and rejected. Other columns are ignored, whatever their names.
     """
     label_col = label_col or declared_col

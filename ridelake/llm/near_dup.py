@@ -29,14 +29,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, document_chunks, staged, utf8_column, without_ids
+from .common import discard, document_chunks, release_memory, staged, utf8_column, without_ids
 from .decontaminate import _cut_at_texts, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, LENGTH = 14, 3   # texts of similarity 0.8 share no bucket once in 20,000 pairs
 SHORT = 32                 # texts of so few shingles are compared by their rarest ones whether they share a bucket or not
-_CHUNK = 2 << 20
+_CHUNK = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -217,6 +217,7 @@ def sketched(rows: DataFrame) -> DataFrame:
             kinds = pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()
             yield pa.RecordBatch.from_arrays([batch.column("_key"), *(pa.array(x, k) for x, k in zip(columns, kinds))],
                                              ["_key", "node", "n", "bands", "short"])
+        release_memory()
 
     return rows.mapInArrow(work, "_key string, node binary, n long, bands array<long>, short binary")
 
@@ -234,6 +235,7 @@ def _words_of_nodes(rows: DataFrame, wanted: DataFrame, kind: str) -> DataFrame:
             out = [(_node(words, text), (words >> np.uint64(32)).astype(np.uint32).tobytes()) for words, text in _each_text(batch)]
             columns = zip(*out) if out else ((),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in columns], ["_digest", "data"])
+        release_memory()
 
     ids = wanted.select(F.col("_first").alias("_wanted")).distinct().hint("merge")
     found = rows.join(ids, F.col("_key").cast(kind).eqNullSafe(ids["_wanted"]), "left_semi")

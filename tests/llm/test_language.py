@@ -60,3 +60,57 @@ def test_page_evidence(spark):
     assert (got[1]["declared"], got[1]["host"], got[1]["suffix"], got[1]["text"].split()) == ("fr", "m.site.example.fr", "fr", ["bon", "jour"])
     assert (got[2]["declared"], got[2]["host"], got[2]["text"]) == (None, None, "")
     assert (got[3]["declared"], got[3]["host"]) == (None, None)
+
+
+def test_pieces_keep_every_trigram():
+    import numpy as np
+    text = ("ab é漢字 🙂x yz " * 300).encode()
+    whole = np.bincount(L.trigrams(text), minlength=L.BUCKETS)
+    for size in (9, 64, 1000):
+        parts = sum(np.bincount(L.trigrams(p.tobytes()), minlength=L.BUCKETS) for p in L.pieces(np.frombuffer(text, np.uint8), size))
+        assert (parts == whole).all()
+
+
+def test_labels_in_any_case_and_a_rare_language(spark, docs):
+    """Labels in upper case give the same result, and a language of three rows among a thousand is one of its own."""
+    rare = spark.createDataFrame([(20_000 + i, "жюяфщ щифяю " * 30, "xx", "rare") for i in range(3)], "doc_id long, text string, lang string, source string")
+    all_docs = docs.select("doc_id", "text", "lang", "source").unionByName(rare)
+    have = {r["doc_id"]: (r["language"], round(r["posterior"], 6)) for r in identify(all_docs, sample_rows=50).collect()}
+    upper = {r["doc_id"]: (r["language"], round(r["posterior"], 6)) for r in identify(all_docs.withColumn("lang", F.upper("lang")), sample_rows=50).collect()}
+    assert have == upper and all(have[20_000 + i][0] == "xx" for i in range(3))
+    assert sum(v[0] == "xx" for v in have.values()) == 3
+
+
+def test_posterior_equals_a_plain_fusion(spark, docs):
+    """The whole fusion computed by loops over the text log-likelihoods."""
+    import math
+    some = docs.filter("doc_id < 300").select("doc_id", "text", "lang", "source")
+    languages, model = L.fit_text_model(some, "doc_id", "text", "lang")
+    rows = [r for r in L.text_evidence(some, ["doc_id", "lang", "source"], "text", model).collect() if r["_trigrams"]]
+
+    def softmax(x):
+        e = [math.exp(v - max(x)) for v in x]
+        return [v / sum(e) for v in e]
+
+    n, post = len(languages), [softmax(r["_ll"]) for r in rows]
+    hosts: dict = {}
+    for r, p in zip(rows, post):
+        hosts[r["source"]] = [a + b for a, b in zip(hosts.get(r["source"], [0.0] * n), p)]
+    total = [sum(h[i] for h in hosts.values()) for i in range(n)]
+    corpus = [(t + 1) / (sum(total) + n) for t in total]
+    smooth = lambda c, parent: [(x + L.PRIOR_STRENGTH * p) / (sum(c) + L.PRIOR_STRENGTH) for x, p in zip(c, parent)]
+    suffix = smooth(total, corpus)
+    told = [[1.0] * n for _ in range(n)]
+    for r, p in zip(rows, post):
+        if r["lang"] in languages:
+            told[languages.index(r["lang"])] = [a + b for a, b in zip(told[languages.index(r["lang"])], p)]
+    got = {r["doc_id"]: r for r in identify(some).collect()}
+    for r in rows:
+        prior = suffix if r["source"] is None else smooth(hosts[r["source"]], suffix)
+        logs = [v + math.log(q) for v, q in zip(r["_ll"], prior)]
+        if r["lang"] in languages:
+            d = told[languages.index(r["lang"])]
+            logs = [v + math.log(d[i] / sum(row[i] for row in told)) for i, v in enumerate(logs)]
+        want = softmax(logs)
+        assert abs(got[r["doc_id"]]["posterior"] - max(want)) < 1e-6
+        assert got[r["doc_id"]]["language"] == languages[want.index(max(want))]
