@@ -12,10 +12,8 @@ vectorised over the bytes of a batch.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -215,7 +213,7 @@ def _match_block(docs: DataFrame, block: list[tuple[str, list[int]]], window: in
                 spans, names = [[] for _ in range(last - first)], [[] for _ in range(last - first)]
                 for i, hits, found in _runs(auto, inside, h, bounds):
                     w, origin = int(bounds[i]), int(doc_at[i])
-                    spans[i] = [[a, b, int(start[w + a]) - origin, int(end[w + b - 1]) - origin] for a, b in hits]
+                    spans[i] = _merged([[a, b, int(start[w + a]) - origin, int(end[w + b - 1]) - origin] for a, b in hits])
                     names[i] = sorted({x.split("\0")[0] for x in found})
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_key").slice(first, last - first), pa.array(np.diff(bounds).astype(np.int64)),
@@ -314,17 +312,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         found = united.withColumn("_one", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
             F.get_json_object("_key", "$.k").alias("_key"), "n_words", "spans", "items")
 
-    def finish(batches):
-        for pdf in batches:
-            spans = [_merged(s) for s in pdf["spans"]]
-            items = [sorted(x) for x in pdf["items"]]
-            yield pd.DataFrame({
-                "_key": pdf["_key"], "n_words": pdf["n_words"], "n_hit": [sum(b - a for a, b, *_ in s) for s in spans],
-                "n_items": [len(x) for x in items], "items": items,
-                "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], "spans": spans})
-
-    done = found.mapInPandas(finish, "_key string, n_words long, n_hit long, n_items long, items array<string>, "
-                                     "items_sha256 string, spans array<array<long>>")
+        def unite(batches):
+            for pdf in batches:
+                yield pdf.assign(spans=[_merged(s) for s in pdf["spans"]])
+
+        found = found.mapInPandas(unite, found.schema)
+
+    # one Python step in the usual case: a second would be a second worker per task, with its own memory
+    items = F.array_sort("items")
+    done = found.select("_key", "n_words", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0]).alias("n_hit"),
+                        F.size("items").cast("long").alias("n_items"), items.alias("items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "spans")
     return done.select(F.col("_key").cast(dict(docs.select(id_col).dtypes)[id_col]).alias(id_col),
                        *[c for c in done.columns[1:] if c != "spans"],
                        ((F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "spans")
