@@ -1,8 +1,9 @@
 """Data-quality reports.
 
-Every report is one aggregation over the scanned rows: rule outcomes are
-boolean columns counted with conditional sums, never separate filtered
-``count()`` jobs, so a report costs one scan whatever the number of rules.
+Every report is a roll-up of one histogram: rule outcomes are a bitmask per row, made
+in a projection that moves below the union into each type's scan (where the rules of
+the other types fold away), and rows are counted by mask. So a report costs one
+scan whatever the number of rules, and several reports can share the histogram.
 """
 
 from __future__ import annotations
@@ -12,24 +13,49 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.numeric import count_if, round_half_up
-from .rules import cascade_steps, counted_rules
+from .rules import cascade_steps, counted_rules, verdict
 
 
-def rule_profile(bronze: DataFrame) -> DataFrame:
+MONTH_KEYS = ("tipo_vehiculo", "anio", "mes")
+
+
+def rule_histogram(bronze: DataFrame, parts: tuple[str, ...] = ("reglas", "paso", "ok", "reembolso")) -> DataFrame:
+    """Rows ``n`` per type, file month and outcome; all that the reports need of the rows.
+
+    ``reglas``: a bit per counted rule (in name order) that the row breaks; ``paso``: first failed step of the
+    cascade, 0 if none; ``ok``: whether cleaning keeps the row; ``reembolso``: a valid refund the cascade's
+    range step would remove. A report asks for the parts it reads.
+    """
+    made = {}
+    if "reglas" in parts:
+        made["reglas"] = sum((F.when(breaks, 1 << i).otherwise(0) for i, (breaks, _) in enumerate(counted_rules().values())), F.lit(0))
+    if "paso" in parts or "reembolso" in parts:
+        made["paso"] = first_failed_step(cascade_steps())
+    if "ok" in parts:
+        made["ok"] = verdict()
+    if "reembolso" in parts:
+        made["reembolso"] = (F.col("fare_amount") < 0) & ~F.col("payment_type").isin(*C.NEGATIVE_FARE_ERROR_PAYMENTS)
+    rows = bronze.select("tipo_vehiculo", F.col("file_anio").alias("anio"), F.col("file_mes").alias("mes"),
+                         *[c.alias(k) for k, c in made.items()])
+    return rows.groupBy(*MONTH_KEYS, *made).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rows_where(condition: Column) -> Column:
+    return F.sum(F.when(condition, F.col("n")).otherwise(0)).cast("long")
+
+
+def rule_profile(bronze: DataFrame, histogram: DataFrame | None = None) -> DataFrame:
     """Q1: per type × file month, rows each rule would remove, in long form.
 
-    Output ``tipo_vehiculo, anio, mes, regla, total_original, filas``. One
-    aggregation computes every rule of every type (a rule that does not
-    apply to a type yields NULL and is dropped after the unpivot).
+    Output ``tipo_vehiculo, anio, mes, regla, total_original, filas``. A rule that does not
+    apply to a type yields NULL and is dropped after the unpivot.
     """
-    t = F.col("tipo_vehiculo")
-    aggs = [F.count(F.lit(1)).alias("total_original")]
-    rules = counted_rules()
-    for name, (breaks, types) in rules.items():
-        aggs.append(F.when(F.max(t.isin(*types)), count_if(breaks)).alias(name))
-    wide = bronze.groupBy("tipo_vehiculo", F.col("file_anio").alias("anio"),
-                          F.col("file_mes").alias("mes")).agg(*aggs)
-    long = wide.unpivot(["tipo_vehiculo", "anio", "mes", "total_original"], list(rules), "regla", "filas")
+    h = rule_histogram(bronze, ("reglas",)) if histogram is None else histogram
+    rules = {name: types for name, (_, types) in counted_rules().items()}
+    broken = [F.when(F.max(F.col("tipo_vehiculo").isin(*types)), _rows_where(F.col("reglas").bitwiseAND(1 << i) != 0)).alias(name)
+              for i, (name, types) in enumerate(rules.items())]
+    wide = h.groupBy(*MONTH_KEYS).agg(F.sum("n").alias("total_original"), *broken)
+    long = wide.unpivot([*MONTH_KEYS, "total_original"], list(rules), "regla", "filas")
     return long.where(F.col("filas").isNotNull())
 
 
@@ -55,17 +81,17 @@ def first_failed_step(steps: list[tuple[str, Column]]) -> Column:
     return expr.otherwise(0)
 
 
-def rule_cascade(bronze: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo",)) -> DataFrame:
+def rule_cascade(bronze: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo",), histogram: DataFrame | None = None) -> DataFrame:
     """Q2: rows removed and remaining after each ordered rule, per ``by`` (type, or type and file month).
 
     One scan: each row is tagged with its first failing step and counted;
     the remaining-rows column is a running sum over the six step rows.
     """
     steps = cascade_steps()
-    idx = first_failed_step(steps)
-    aggs = [F.count(F.lit(1)).alias("n_inicial")]
-    aggs += [count_if(idx == i).alias(f"s{i}") for i in range(1, len(steps) + 1)]
-    wide = bronze.groupBy(*by).agg(*aggs)
+    h = rule_histogram(bronze, ("paso",)) if histogram is None else histogram
+    h = h.withColumns({"file_anio": F.col("anio"), "file_mes": F.col("mes")})
+    wide = h.groupBy(*by).agg(F.sum("n").alias("n_inicial"),
+                              *[_rows_where(F.col("paso") == i).alias(f"s{i}") for i in range(1, len(steps) + 1)])
     stack = F.explode(F.array(*[
         F.struct(F.lit(i).alias("paso"), F.lit(label).alias("regla"), F.col(f"s{i}").alias("filas_eliminadas"))
         for i, (label, _) in enumerate(steps, start=1)])).alias("st")
@@ -78,17 +104,15 @@ def rule_cascade(bronze: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo",)) ->
     )
 
 
-def lost_refunds(bronze: DataFrame) -> DataFrame:
+def lost_refunds(bronze: DataFrame, histogram: DataFrame | None = None) -> DataFrame:
     """Q3: negative fares with a payment outside (0,1,2) still present after steps 1–2.
 
     These rows are valid refunds under the cleaning rule but are removed by
     the cascade's stricter fare-range step.
     """
-    steps = cascade_steps()
-    idx = first_failed_step(steps)
-    lost = ((idx == 0) | (idx > 2)) & (F.col("fare_amount") < 0) \
-        & ~F.col("payment_type").isin(*C.NEGATIVE_FARE_ERROR_PAYMENTS)
-    return bronze.groupBy("tipo_vehiculo").agg(count_if(lost).alias("filas_perdidas"))
+    h = rule_histogram(bronze, ("reembolso",)) if histogram is None else histogram
+    lost = ((F.col("paso") == 0) | (F.col("paso") > 2)) & F.col("reembolso")
+    return h.groupBy("tipo_vehiculo").agg(_rows_where(lost).alias("filas_perdidas"))
 
 
 def layer_audit(bronze: DataFrame, silver: DataFrame) -> DataFrame:
