@@ -80,7 +80,7 @@ class Codec:
         self.tails = {token[i:]: ranks.get(token[i:], -1) for token in ranks for i in range(len(token))}
         self.pairs: dict[int, bool] = {}
         self.courses: dict[int, tuple[list[int], list[bytes], list[bytes], bool]] = {}
-        self.pieces: dict[str, tuple[str, int, bytes]] = {}
+        self.pieces: dict[str, str] = {}  # the ids of a piece as text; they decode to the piece
 
     def course(self, token: int) -> tuple[list[int], list[bytes], list[bytes], bool]:
         """How the token's own bytes merge: rank of each merge, first and last part around it, whether the token results."""
@@ -225,9 +225,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         codec, split = codec_of(ranks_path), regex.compile(pattern)
         cache = codec.pieces
 
-        def piece(p: str) -> tuple[str, int, bytes]:
-            found = codec.encode_piece(p.encode())
-            entry = " ".join(map(str, found)), len(found), codec.decode(found)
+        def piece(p: str) -> str:
+            found = codec.encode_piece(raw := p.encode())
+            if codec.decode(found) != raw:
+                raise ValueError("the ids of a piece decode to something else")
+            entry = " ".join(map(str, found))
             if len(p) <= CACHE_BYTES:
                 if len(cache) >= CACHE_PIECES:
                     cache.clear()
@@ -236,25 +238,27 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
         def batched(text: str):
             if len(text) <= LONG_TEXT:
-                pieces = split.findall(text)
-                yield [cache.get(p) or piece(p) for p in pieces]
+                yield split.findall(text)
                 return
             pieces = (m[0] for m in split.finditer(text))
             while some := list(islice(pieces, 100_000)):
-                yield [cache.get(p) or piece(p) for p in some]
+                yield some
 
         for pdf in batches:
             out = []
             for key, text in zip(pdf["_key"], pdf["_text"], strict=True):
                 numbers, decoded = hashlib.sha256(), hashlib.sha256()
                 count, listed, begun = 0, [], ""
-                for entries in batched(text):  # long texts: digested as they come
-                    numbers.update((begun + " ".join([e[0] for e in entries])).encode())
-                    decoded.update(b"".join([e[2] for e in entries]))
-                    count += sum([e[1] for e in entries])
+                for pieces in batched(text):  # long texts: digested as they come
+                    if not pieces:
+                        continue
+                    joined = " ".join([cache.get(p) or piece(p) for p in pieces])
+                    numbers.update((begun + joined).encode())
+                    decoded.update("".join(pieces).encode())  # each piece's ids gave back its bytes when it was met first
+                    count += joined.count(" ") + 1
                     begun = " "
                     if ids:
-                        listed += [int(x) for e in entries for x in e[0].split()]
+                        listed += map(int, joined.split())
                 out.append([key, count, numbers.hexdigest(), decoded.hexdigest()] + [listed] * ids)
             yield pd.DataFrame(out, columns=["_key", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids])
         release_memory()

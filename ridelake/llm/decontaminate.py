@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_chunks, utf8_column
+from .common import document_chunks, release_memory, utf8_column
 
 WINDOW = 13              # words
 COVERAGE = 20            # a document is contaminated if at least one word in COVERAGE is hit
@@ -219,6 +219,7 @@ def _match_block(docs: DataFrame, block: list[tuple[str, list[int]]], window: in
                     [batch.column("_key").slice(first, last - first), pa.array(np.diff(bounds).astype(np.int64)),
                      pa.array(spans, pa.list_(span)), pa.array(names, pa.list_(pa.string()))],
                     ["_key", "n_words", "spans", "items"])
+        release_memory()
 
     return docs.mapInArrow(match, "_key string, n_words long, spans array<array<long>>, items array<string>")
 

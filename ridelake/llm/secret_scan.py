@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import release_memory, staged
 
 RULE_VERSION = "2"
 # The base rules, in the order their kinds are listed.
@@ -111,6 +111,7 @@ def scan_versions(versions: DataFrame, ledger: str, path_cols: list[str], text_c
                 out.append((blob, kinds.count("assign"), kinds.count("access"), kinds.count("hex"),
                             hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
             yield pd.DataFrame(out, columns=["blob", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+        release_memory()
 
     (texts.mapInPandas(scan, f"blob binary, {_FOUND}")
      .withColumns({"rule_version": F.lit(rule_version), "batch": F.lit(uuid.uuid4().hex)})
