@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -30,3 +31,26 @@ def frame(spark, rows):
     df = df.withColumn("file_ym", F.col("file_anio") * 100 + F.col("file_mes"))
     return df.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz")) \
              .withColumn("dropoff_datetime", F.col("dropoff_datetime").cast("timestamp_ntz"))
+
+
+def plain_zone_counts(silver) -> dict:
+    """Trips that leave and reach each zone per type and day, counted one by one in Python.
+
+    Zones are matched as a join would: ends without a zone are never matched, so they are counted per side.
+    """
+    leave, reach = Counter(), Counter()
+    for r in silver.select("tipo_vehiculo", "pickup_datetime", "pu_location_id", "do_location_id").collect():
+        day = (r.pickup_datetime.year, r.pickup_datetime.month, r.pickup_datetime.day, r.tipo_vehiculo)
+        leave[(r.pu_location_id, *day)] += 1
+        reach[(r.do_location_id, *day)] += 1
+    matched = {k for k in leave.keys() | reach.keys() if k[0] is not None}
+    out = Counter((*k, leave[k], reach[k]) for k in matched)
+    out.update((*k, n, 0) for k, n in leave.items() if k[0] is None)
+    out.update((*k, 0, n) for k, n in reach.items() if k[0] is None)
+    return out
+
+
+def zone_rows(table) -> Counter:
+    """The rows of a zone fact in the form of ``plain_zone_counts``."""
+    return Counter(tuple(r) for r in table.select(
+        "location_id", "anio", "mes", "dia", "tipo_vehiculo", "total_viajes_origen", "total_viajes_destino").collect())
