@@ -58,19 +58,21 @@ def audit(bronze: DataFrame, tipo: str | None = None) -> DataFrame:
     return agg.withColumn("pct_retenido", _retained_pct(F.col("filas_entrada"), F.col("filas_salida")))
 
 
-def audit_from_counts(bronze: DataFrame, written: DataFrame) -> DataFrame:
-    """A10 after a silver write, from row counts alone (no column data is read).
+def audit_of_counts(rows_in: DataFrame, written: DataFrame) -> DataFrame:
+    """A10 after a silver write, from row counts alone: ``filas_entrada`` per type × file month, and the rows written.
 
-    Rows in are counted per type × file month of the bronze scan, rows out per
-    silver partition that was written; both counts need only Parquet footers
-    and partition paths (``ReadSchema: struct<>``), so auditing a write costs a
-    metadata pass instead of a second scan of the rule columns. A month with
-    no surviving rows has no partition and gets 0.
+    Rows out are counted per silver partition, which needs only Parquet footers
+    and partition paths. A month with no surviving rows has no partition and gets 0.
     """
     keys = ["tipo_vehiculo", "anio", "mes"]
-    rows_in = (bronze.groupBy("tipo_vehiculo", F.col("file_anio").alias("anio"), F.col("file_mes").alias("mes"))
-                     .agg(F.count(F.lit(1)).alias("filas_entrada")))
     rows_out = written.groupBy(*keys).agg(F.count(F.lit(1)).alias("filas_salida"))
     j = rows_in.join(rows_out, keys, "left").withColumn("filas_salida", F.coalesce("filas_salida", F.lit(0)))
     return j.select(*keys, "filas_entrada", "filas_salida",
                     _retained_pct(F.col("filas_entrada"), F.col("filas_salida")).alias("pct_retenido"))
+
+
+def audit_from_counts(bronze: DataFrame, written: DataFrame) -> DataFrame:
+    """``audit_of_counts`` with the rows in counted over a bronze frame (no data column is read)."""
+    rows_in = (bronze.groupBy("tipo_vehiculo", F.col("file_anio").alias("anio"), F.col("file_mes").alias("mes"))
+                     .agg(F.count(F.lit(1)).alias("filas_entrada")))
+    return audit_of_counts(rows_in, written)

@@ -41,7 +41,7 @@ def run(spark: SparkSession, silver_path: str, gold_path: str, zones: DataFrame
         sample_one_in: int = features.SAMPLE_ONE_IN) -> dict[str, str]:
     """``sample_one_in``: share of trips in the classification features (1: all of them)."""
     checkpoint_root(spark)  # the base is checkpointed into the shared folder
-    silver = spark.read.parquet(silver_path)
+    silver = WR.read_silver(spark, silver_path)
     out = {}
 
     def write(name, df, parts):

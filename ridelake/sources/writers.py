@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..contracts import SILVER_PARTITIONS, SILVER_SCHEMA
-from ..session import checkpoint_root
+from ..contracts import SILVER_PARTITIONS
+from .silver_table import read_silver, replace_silver  # noqa: F401 - the versioned table, beside the plain writers
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] | list[str] = (),
@@ -37,41 +35,6 @@ def write_silver(silver: DataFrame, path: str) -> None:
     write_partitioned(silver, path, SILVER_PARTITIONS)
 
 
-def silver_files(spark, path: str) -> DataFrame:
-    """Path and partition of every silver file; a listing, no file is opened. Empty where nothing is stored yet."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-                 .load(path).select("path"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, tipo_vehiculo string, anio int, mes int")
-    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
-    return files.select("path", part("tipo_vehiculo").alias("tipo_vehiculo"), part("anio").cast("int").alias("anio"),
-                        part("mes").cast("int").alias("mes"))
-
-
-def replace_silver(silver: DataFrame, path: str, months: DataFrame) -> DataFrame:
-    """K1 for a run that has read all of ``months`` (type, year, month): each of them is replaced.
-
-    A month of which no row survives is emptied, so nothing of an earlier run
-    stays. Which months were written shows in the files that were not there
-    before. Returns the months written, and only them.
-    """
-    spark = silver.sparkSession
-    keys = list(SILVER_PARTITIONS)
-    checkpoint_root(spark)
-    before = silver_files(spark, path).checkpoint(eager=True)  # the listing as it is now
-    write_silver(silver, path)
-    written = silver_files(spark, path).join(before, "path", "left_anti").select(*keys).distinct().checkpoint(eager=True)
-    stale = before.select(*keys).distinct().join(months, keys, "left_semi").join(written, keys, "left_anti")
-    nothing = spark.createDataFrame([], T.StructType([f for f in SILVER_SCHEMA.fields if f.name not in keys]))
-    for r in stale.collect():  # whole months: a few
-        folder = "/".join(f"{k}={r[k]}" for k in keys)
-        nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{folder}")
-    return written
-
-
 AUDIT_SCHEMA = ("tipo_vehiculo string, anio int, mes int, filas_entrada long, filas_salida long, "
                 "pct_retenido double, run_ts timestamp, run_id string")
 
@@ -90,14 +53,3 @@ def write_audit(audit: DataFrame, path: str, run_id: str) -> None:
 def read_audit(spark, path: str) -> DataFrame:
     """The audit table with its declared schema (``run_id`` stays a string)."""
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
-
-
-def read_silver(spark, path: str, extra_partitions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
-    """Silver with its declared schema (partition columns included).
-
-    With a declared schema an empty folder (a run in which no row survived)
-    reads as an empty frame instead of failing schema inference.
-    """
-    fields = list(SILVER_SCHEMA.fields)
-    fields += [T.StructField(n, T._parse_datatype_string(t)) for n, t in extra_partitions]
-    return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -8,6 +8,7 @@ batch is replayed from the checkpoint (exactly-once with idempotent sinks).
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from ..contracts import SILVER_PARTITIONS, VEHICLE_TYPES
 from ..operators import conform as CF
 from ..operators import silver as SV
-from ..sources import writers as WR
-from ..sources.bronze import FILE_COLUMNS, read_bronze
+from ..sources import silver_table as ST
+from ..sources.bronze import FILE_COLUMNS, read_bronze_types, rows_per_month
 
 
 # Upper bound on the bronze bytes one type's file stream takes into a micro-batch.
@@ -52,10 +53,7 @@ def arrivals(spark: SparkSession, folders: dict[str, str], max_files_per_trigger
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-STREAM_PARTITIONS = (*SILVER_PARTITIONS, "lote")
-
-
-def _write_batch(silver_path: str, audit_path: str):
+def _write_batch(silver_path: str, audit_path: str, checkpoint: str):
     def write(arrived: DataFrame, batch_id: int) -> None:
         files: dict[str, list[str]] = {}
         for r in arrived.collect():  # file names of one bounded batch
@@ -63,21 +61,24 @@ def _write_batch(silver_path: str, audit_path: str):
         if not files:
             return
         spark = arrived.sparkSession
-        batch = CF.conform_all({t: read_bronze(spark, f, t) for t, f in files.items()}, keep=FILE_COLUMNS)
-        # Partitioned by type/year/month and batch (``lote``) with dynamic overwrite: a replayed
-        # batch replaces exactly its own files, and parts of one month that arrive in different
-        # batches (a month split over several files) are kept side by side.
-        (SV.clean(batch).withColumn("lote", F.lit(batch_id)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(*STREAM_PARTITIONS).parquet(silver_path))
+        # The stream's id lives in its checkpoint: a new checkpoint is a new stream, whose batches count anew.
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        if ST.is_committed(spark, silver_path, stream, batch_id):
+            return
+        # A batch is a version of its own, written anew by a replay; no reader sees it before the commit, which
+        # puts it beside what its months hold (a month split over several files keeps all parts).
+        version = ST.batch_version(stream, batch_id)
+        batch = CF.conform_all(read_bronze_types(spark, files), keep=FILE_COLUMNS)
+        months = ST.write_version(SV.clean(batch), silver_path, version)
         # The batch is not persisted: the write is its only data pass, and the audit
         # counts rows from the batch files' footers and the partitions this batch wrote.
-        written = (WR.read_silver(spark, silver_path, (("lote", "long"),))
-                     .where(F.col("lote") == batch_id).select(*SILVER_PARTITIONS))
+        written = ST.read_version(spark, silver_path, version).select(*SILVER_PARTITIONS)
         # Audit rows keyed by batch id: a replayed batch overwrites its own rows instead of adding.
-        (SV.audit_from_counts(batch, written).withColumn("batch_id", F.lit(batch_id))
+        (SV.audit_of_counts(rows_per_month(spark, files), written).withColumn("batch_id", F.lit(batch_id))
            .withColumn("run_ts", F.current_timestamp())
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch_id").parquet(audit_path))
+        ST.add_batch(spark, silver_path, stream, batch_id, months)
     return write
 
 
@@ -86,7 +87,7 @@ def run_incremental(spark: SparkSession, folders: dict[str, str], silver_path: s
                     max_bytes_per_trigger: int = DEFAULT_BATCH_BYTES) -> None:
     """Process every bronze file not yet seen in bounded batches, then stop (``availableNow``)."""
     q = (arrivals(spark, folders, max_files_per_trigger, max_bytes_per_trigger).writeStream
-         .foreachBatch(_write_batch(silver_path, audit_path))
+         .foreachBatch(_write_batch(silver_path, audit_path, checkpoint))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

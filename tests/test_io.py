@@ -20,7 +20,7 @@ def test_months_of_different_types_are_read_together(spark):
     assert dict(df.dtypes)["PUlocationID"] == "bigint"
     got = sorted((r.file_ym, r.file_mes, r.PUlocationID) for r in df.collect())
     assert got == [(202400 + m, m, 7) for m in (1, 2, 3) for _ in range(3)]
-    assert len(BR.schema_groups(spark, [root])) == 3
+    assert len(BR.schema_groups(spark, {"fhv": [root]})["fhv"]) == 3
     one = BR.read_bronze(spark, f"{root}/fhv_tripdata_2024-0[12].parquet", "fhv")  # a glob
     assert sorted({r.file_mes for r in one.collect()}) == [1, 2]
 
@@ -170,3 +170,62 @@ def test_file_without_month_in_path_reads_with_null_month(spark):
     df = BR.read_bronze(spark, f"{root}/yellow", "yellow")
     rows = df.select("file_anio", "file_mes").collect()
     assert len(rows) == 5 and all(r.file_anio is None and r.file_mes is None for r in rows)
+
+
+def test_parts_of_one_month_may_differ(spark):
+    root = scratch_path(spark, "parts")
+    for i, typ in enumerate(("int", "double")):
+        spark.range(2).select(F.lit(7).cast(typ).alias("PUlocationID")).write.parquet(f"{root}/fhv_tripdata_2024-01.parquet/{i}")
+    df = BR.read_bronze(spark, root, "fhv")
+    assert [(r.file_mes, r.PUlocationID) for r in df.collect()] == [(1, 7)] * 4
+
+
+def test_files_that_arrow_cannot_open_are_inferred_by_spark(spark, monkeypatch):
+    root = scratch_path(spark, "no-arrow")
+    for month, typ in ((1, "int"), (2, "double"), (3, "int")):
+        spark.range(1).select(F.lit(7).cast(typ).alias("PUlocationID")).write.parquet(f"{root}/fhv_tripdata_2024-{month:02d}.parquet")
+    assert BR._physical_schema("nosuch://host/file.parquet") is None
+    monkeypatch.setattr(BR, "_footers", lambda batches: (b.assign(esquema=None) for b in batches))
+    assert len(BR.schema_groups(spark, {"fhv": [root]})["fhv"]) == 2
+    assert sorted(r.file_mes for r in BR.read_bronze(spark, root, "fhv").collect()) == [1, 2, 3]
+
+
+def test_a_job_killed_between_write_and_commit_changes_nothing(spark, monkeypatch):
+    """The rows of the second run are stored but not committed: readers see the first run, whole."""
+    import pytest
+    from helpers import SF_SMALL
+    from ridelake.plans import silver_job
+    from ridelake.sources import fixtures as FX
+    from ridelake.sources import silver_table as ST
+    root = scratch_path(spark, "killed")
+    b = FX.trips_bronze(spark, SF_SMALL, multi=True).where("tipo_vehiculo = 'green' AND file_anio = 2024")
+    folders = [{"green": BR.write_bronze_fixture(f, f"{root}/{i}")["green"]}
+               for i, f in enumerate((b, b.withColumn("fare_amount", F.col("fare_amount") + 1).where("file_mes <> 2")))]
+    with monkeypatch.context() as m:  # killed in the very first run: no rows
+        m.setattr(ST, "write_version", lambda *a, write=ST.write_version: write(*a) and 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            silver_job.run(spark, folders[0], f"{root}/silver", f"{root}/audit", "r0")
+    assert _silver(spark, root).count() == 0
+    silver_job.run(spark, folders[0], f"{root}/silver", f"{root}/audit", "r1")
+    first = sorted(_silver(spark, root).collect(), key=str)
+    with monkeypatch.context() as m:
+        m.setattr(ST, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            silver_job.run(spark, folders[1], f"{root}/silver", f"{root}/audit", "r2")
+    assert sorted(_silver(spark, root).collect(), key=str) == first != []
+    silver_job.run(spark, folders[1], f"{root}/silver", f"{root}/audit", "r2")
+    fares = lambda rows: sum(r.fare_amount for r in rows if r.mes != 2)
+    now = _silver(spark, root).collect()
+    assert fares(now) != fares(first) and [r for r in now if r.mes == 2] != []
+
+
+def test_a_plain_folder_becomes_a_versioned_table(spark):
+    from helpers import SF_SMALL
+    from ridelake.operators import silver
+    from ridelake.sources import fixtures as FX
+    root = scratch_path(spark, "plain")
+    s = silver.clean(FX.trips_bronze(spark, SF_SMALL, multi=True).where("tipo_vehiculo = 'fhv'"))
+    WR.write_silver(s, f"{root}/silver")
+    n = _silver(spark, root).count()
+    WR.replace_silver(s.where("anio = 2024 AND mes = 1"), f"{root}/silver", [("fhv", 2024, 1)])
+    assert _silver(spark, root).count() == n > 0
